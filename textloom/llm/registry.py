@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import bpe
+from textloom.llm import bpe, mixing, simhash
 
-QUERIES = {**bpe.QUERIES}
+QUERIES = {**bpe.QUERIES, **mixing.QUERIES, **simhash.QUERIES}
 ORACLE_SQL: dict[str, str] = {}
