@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import bpe, mixing, simhash
+from textloom.llm import bpe, mixing, simhash, substring
 
-QUERIES = {**bpe.QUERIES, **mixing.QUERIES, **simhash.QUERIES}
+QUERIES = {**bpe.QUERIES, **mixing.QUERIES, **simhash.QUERIES, **substring.QUERIES}
 ORACLE_SQL: dict[str, str] = {}
