@@ -78,7 +78,9 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(a, b): links between the distinct values of ``fp`` that differ by at most
     ``distance`` bits. Pairs that a chain of one-bit links already connects may be left
     out; the components are those of all links."""
-    distinct = fps.select("fp").distinct()
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # 8-byte rows become 64 variants each: keep them spread over all tasks
+    distinct = fps.select("fp").repartition(parts, "fp").distinct()
     # pass 1: fingerprints that share a whole-length one-bit deletion point at its smallest
     masks = [(k, _signed(~(1 << k) & (1 << 64) - 1)) for k in range(64)]
     variants = F.explode(F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in masks)))
@@ -94,7 +96,19 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     variants = F.explode(F.array(*(F.struct(F.lit(i).cast("short").alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in keys)))
     x = table.select("fp", "c", variants.alias("d")).select("fp", "c", "d.k", "d.key")
     y = table.select(F.col("fp").alias("fp2"), F.col("c").alias("c2"), variants.alias("d")).select("fp2", "c2", F.col("d.k").alias("k2"), F.col("d.key").alias("key2"))
-    close = (F.col("c") < F.col("c2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= distance)
+    differ = F.col("fp").bitwiseXOR(F.col("fp2"))
+    masks = [_signed(((1 << width) - 1) << lo) for lo, width in segments(distance)]
+    # each pair is emitted once: in its first segment with at most one differing bit, and
+    # there under that bit's deletion, or the first deletion if none differs
+    once = F.lit(False)
+    for s, (lo, _) in enumerate(segments(distance)):
+        here = differ.bitwiseAND(F.lit(masks[s]))
+        earlier = [F.bit_count(differ.bitwiseAND(F.lit(m))) > 1 for m in masks[:s]]
+        holds = (F.col("k") == s * 64 + lo) | (here != 0)
+        for e in earlier:
+            holds = holds & e
+        once = once | (F.col("k").between(s * 64, s * 64 + 63) & holds)
+    close = (F.col("c") < F.col("c2")) & (F.bit_count(differ) <= distance) & once
     far = x.join(y, (x.k == y.k2) & (x.key == y.key2) & close).groupBy("c", "c2").agg(F.min("fp").alias("a")).select(F.col("c").alias("a"), F.col("c2").alias("b"))
     return near.union(far)
 
