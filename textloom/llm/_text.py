@@ -45,12 +45,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes as an array, and where words start and end."""
+#: Bytes that are no ASCII letter or digit and not part of a longer code point.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def spans(raw: bytes, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes as an array, and where words start and end; ``apart`` marks the bytes
+    between words."""
     a = np.frombuffer(raw, np.uint8)
     word = np.empty(len(a) + 2, np.int8)
     word[0] = word[-1] = 0
-    np.logical_not(_SPACE[a], out=word[1:-1].view(bool))
+    np.logical_not(apart[a], out=word[1:-1].view(bool))
     d = np.diff(word)
     return a, np.flatnonzero(d == 1), np.flatnonzero(d == -1)
 
