@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from textloom.llm import bpe, mixing, simhash, substring
+import corpus_pipeline
+from textloom.llm import bpe, mixing, simhash, substring, toxicity
 
-QUERIES = {**bpe.QUERIES, **mixing.QUERIES, **simhash.QUERIES, **substring.QUERIES}
+QUERIES = {**substring.QUERIES, **toxicity.QUERIES, **bpe.QUERIES, **simhash.QUERIES, **mixing.QUERIES, "pipeline": corpus_pipeline.run}
 ORACLE_SQL: dict[str, str] = {}
