@@ -39,10 +39,10 @@ def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         u = np.concatenate((u, b.column(0).to_numpy()))
         v = np.concatenate((v, b.column(1).to_numpy()))
-        if len(u) >= BATCH:
+        if len(u) >= 2 * BATCH:
             n, r = smallest_labels(u, v)
             u, v = n[n != r], r[n != r]
-            if len(u) >= BATCH // 2:
+            if len(u) >= BATCH:
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
                 u = v = np.zeros(0, np.int64)
     if len(u):
@@ -50,25 +50,30 @@ def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(n[n != r]), pa.array(r[n != r])], names=["u", "v"])
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, max_rounds: int = 60, one_task: int = BATCH) -> DataFrame:
     """(node, component) for every node of ``links`` (two long columns); component is the
     smallest node reachable. Null ends and self-links are ignored.
 
-    Each round contracts links inside tasks, then takes a large-star and a small-star
-    step; it stops when every node points at a root. Rounds grow with the logarithm of
+    Links are contracted inside tasks first. What is left is counted: up to ``one_task``
+    links are finished by one task. Beyond that, each round takes a large-star and a
+    small-star step, until every node points at a root. Rounds grow with the logarithm of
     the longest path. Lineage is cut by a written table each round; no links reach the
     driver, only their count and a checksum.
     """
     a, b = links.columns[:2]
     stars = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u is not null and v is not null and u <> v")
     kind = "u long, v long"
-    stars = written(stars.mapInArrow(contract, kind).distinct(), "links")
+    stars = written(stars.mapInArrow(contract, kind), "links")
     seen = None
     for _ in range(max_rounds):
         sign = stars.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if sign == seen or sign[0] == 0:
             break
         seen, old = sign, stars
+        if sign[0] <= one_task:
+            stars = written(stars.coalesce(1).mapInArrow(contract, kind), "links")
+            forget(old)
+            break
         both = stars.union(stars.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: every larger neighbour points at the smallest
