@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from textloom.llm import bpe, mixing, simhash, substring, toxicity
+from textloom.llm import ann, bpe, mixing, neardup_vectors, simhash, substring, toxicity
 
-QUERIES = {**substring.QUERIES, **toxicity.QUERIES, **bpe.QUERIES, **simhash.QUERIES, **mixing.QUERIES, "pipeline": corpus_pipeline.run}
+QUERIES = {**substring.QUERIES, **neardup_vectors.QUERIES, **ann.QUERIES, **toxicity.QUERIES, **bpe.QUERIES, **simhash.QUERIES, **mixing.QUERIES, "pipeline": corpus_pipeline.run}
 ORACLE_SQL: dict[str, str] = {}
