@@ -44,3 +44,11 @@ def forget(df: DataFrame) -> None:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         if top.split(":", 1)[-1].strip("/") in folder:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished plans that nothing refers to."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
