@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from textloom.llm import ann, bpe, html, langid, mixing, neardup_vectors, simhash, substring, toxicity
+from textloom.llm import ann, bpe, html, katz, langid, mixing, neardup_vectors, simhash, substring, toxicity
 
-QUERIES = {**langid.QUERIES, **substring.QUERIES, **neardup_vectors.QUERIES, **ann.QUERIES, **toxicity.QUERIES, **bpe.QUERIES, **simhash.QUERIES, **html.QUERIES, **mixing.QUERIES, "pipeline": corpus_pipeline.run}
+QUERIES = {**katz.QUERIES, **langid.QUERIES, **substring.QUERIES, **neardup_vectors.QUERIES, **ann.QUERIES, **toxicity.QUERIES, **bpe.QUERIES, **simhash.QUERIES, **html.QUERIES, **mixing.QUERIES, "pipeline": corpus_pipeline.run}
 ORACLE_SQL: dict[str, str] = {}
