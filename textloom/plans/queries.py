@@ -264,7 +264,7 @@ def _(spark, d):
 
 @query("lsh_buckets", f"WITH {_PAIRS} SELECT band, key, rep, n FROM bucket")
 def _(spark, d):
-    return dedup.lsh_buckets(dedup.minhash(_docs(spark, d))).select(F.col("band").cast("long").alias("band"), "key", "rep", "n")
+    return dedup.lsh_buckets(dedup.minhash(_docs(spark, d))).select("band", "key", "rep", "n")
 
 
 @query("lsh_pairs", f"WITH {_PAIRS} SELECT rep_id, doc_id, agree FROM pairs")
