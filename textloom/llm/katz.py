@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
-from textloom.scratch import release, written
+from textloom.scratch import forget, release, written
 from textloom.sizes import pieces
 
 CUT = 5
@@ -58,6 +59,31 @@ def small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 256 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
+LOW48 = np.uint64((1 << 48) - 1)
+
+
+def thin(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48 bits of each word's hash. They only tell apart words of one context bucket, which
+    are a few hundred thousand at any size of the corpus."""
+    return words.astype(np.uint32), (words >> np.uint64(32)).astype(np.uint16)
+
+
+def thick(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+
+
+def spare(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts as bytes; places and values of those that don't fit."""
+    big = np.flatnonzero(counts > 255)
+    return np.minimum(counts, 255).astype(np.uint8), small(big), counts[big].astype(np.int64)
+
+
+def full(counts: np.ndarray, big: np.ndarray, value: np.ndarray) -> np.ndarray:
+    out = counts.astype(np.int64)
+    out[big] = value
+    return out
+
+
 def starts(sorted_: np.ndarray, *more: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin in sorted arrays."""
     if not len(sorted_):
@@ -139,7 +165,8 @@ def word_table(rows: DataFrame, buckets: int, partitions: int) -> DataFrame:
         to, w = key // np.uint64(len(word)), (key % np.uint64(len(word))).astype(np.int64)
         ends = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
         where = np.flatnonzero(np.diff(ends))
-        out = [dump(word[w[ends[b] : ends[b + 1]]], total[w[ends[b] : ends[b + 1]]]) for b in where]
+        own = [w[ends[b] : ends[b + 1]] for b in where]
+        out = [dump(*thin(word[x]), *spare(total[x])) for x in own]
         out.append(dump(np.append(np.bincount(total[(total > 0) & (total <= CUT + 1)], minlength=CUT + 2)[1:], ((total > 0).sum(), total.sum())).astype(np.int64)))
         yield pa.RecordBatch.from_arrays([pa.array([*where, -1], pa.int64()), pa.array([0] * len(where) + [-1], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "kind", "blob"])
 
@@ -199,13 +226,18 @@ class Unigrams:
 
 
 def pair_blobs(rows: DataFrame, buckets: int) -> DataFrame:
-    """bucket, kind 1, blob: the pairs of a batch whose context is in the bucket."""
+    """bucket, kind, blob. kind 1: the pairs of a batch whose context is in the bucket, with
+    the documents (places in the batch, and whether they teach) of each; kind 2: the keys
+    of a batch's documents, once a batch. A token costs about 8 bytes in any number of
+    buckets: nothing is stored for each document of each bucket."""
     P = np.uint64(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c, t, doc, k, train in _batches(batches):
+            name = np.array([xxhash.xxh64_intdigest(k.tobytes())], np.uint64)
+            doc = doc * np.uint32(2) + train[doc].astype(np.uint32)
             order = np.lexsort((t, c))
-            c, t, doc = c[order], t[order], doc[order]
+            c, t, doc = c[order], t[order], small(doc[order])
             context = starts(c)
             size = runs(context, len(c))
             to = c[context] % P
@@ -216,41 +248,46 @@ def pair_blobs(rows: DataFrame, buckets: int) -> DataFrame:
                 r = by[ends[u] : ends[u + 1]]
                 n = size[r]
                 at = np.repeat(context[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                own_t, own_doc = t[at], doc[at]
-                pair = starts(own_t, np.repeat(np.arange(len(r)), n))
-                per = np.add.reduceat(np.isin(np.arange(len(at)), pair).astype(np.int64), np.cumsum(n) - n)
-                word, which = np.unique(own_t[pair], return_inverse=True)
-                used, local = np.unique(own_doc, return_inverse=True)
-                out.append(dump(c[context[r]], small(per), word, small(which), small(runs(pair, len(at))), k[used], train[used].astype(np.uint8), small(local)))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([1] * len(where), pa.int32()), pa.array(out, pa.binary())], names=["bucket", "kind", "blob"])
+                own_t, own_c = t[at], np.repeat(np.arange(len(r)), n)
+                pair = starts(own_t, own_c)
+                per = np.bincount(own_c[pair], minlength=len(r))
+                out.append(dump(name, c[context[r]], *spare(per), *thin(own_t[pair]), *spare(runs(pair, len(at))), doc[at]))
+            out.append(dump(name, k))
+            yield pa.RecordBatch.from_arrays([pa.array([*where, int(name[0] % P)], pa.int64()), pa.array([1] * len(where) + [2], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "kind", "blob"])
 
     return rows.mapInArrow(run, "bucket long, kind int, blob binary")
 
 
 def evaluate(held: list[tuple[int, bytes]], uni: Unigrams) -> Iterator[pa.RecordBatch]:
-    """One row: counts of counts of the bucket's pairs, and a blob that finish() reads."""
-    words, counts = (np.concatenate(x) for x in zip(*(load(b) for kind, b in held if kind == 0)))
+    """kind 1: counts of counts of the bucket's pairs, and a blob that finish() reads; kind 2
+    as it came."""
+    for kind, blob in held:
+        if kind == 2:
+            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([None], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["kind", "numbers", "blob"])
+    if not any(kind == 1 for kind, _ in held):
+        return
+    words, counts = zip(*((thick(a, b), full(*c)) for a, b, *c in (load(x) for kind, x in held if kind == 0)))
+    words, counts = np.concatenate(words), np.concatenate(counts)
     order = np.argsort(words, kind="stable")
     words, counts = words[order], counts[order]
-    C, T, M, D, keys, trains, base = [], [], [], [], [], [], 0
+    C, T, M, D, names, sizes, base = [], [], [], [], [], [], 0
     for kind, blob in held:
-        if kind:
-            c, per, word, which, many, k, train, doc = load(blob)
-            C.append(np.repeat(c, per))
-            T.append(np.searchsorted(words, word).astype(np.uint32)[which])
-            M.append(many.astype(np.uint32))
-            D.append(doc.astype(np.uint32) + np.uint32(base))
-            keys.append(k)
-            trains.append(train)
-            base += len(k)
-    C, T, M, D, keys, trains = (np.concatenate(x) for x in (C, T, M, D, keys, trains))
-    keys, same = np.unique(keys, return_inverse=True)
-    D, train = same[D].astype(np.uint32), trains[:, None].ravel()
-    flag = np.zeros(len(keys), np.uint8)
-    flag[same] = train
+        if kind == 1:
+            name, c, p0, p1, p2, low, high, m0, m1, m2, doc = load(blob)
+            C.append(np.repeat(c, full(p0, p1, p2)))
+            T.append(np.searchsorted(words, thick(low, high)).astype(np.uint32))
+            M.append(full(m0, m1, m2).astype(np.uint32))
+            D.append(doc.astype(np.uint32) + np.uint32(2 * base))
+            names.append(name[0])
+            sizes.append(int(doc.max() >> 1) + 1)
+            base += sizes[-1]
+    C, T, M, D = (np.concatenate(x) for x in (C, T, M, D))
+    teach = (D & np.uint32(1)).astype(bool)
+    D >>= np.uint32(1)
     # training count of each pair row, then of each pair
     rows = np.repeat(np.arange(len(C), dtype=np.uint32), M)
-    own = np.bincount(rows, weights=flag[D], minlength=len(C)).astype(np.int64)
+    own = np.bincount(rows[teach], minlength=len(C)).astype(np.int64)
+    del teach
     order = np.lexsort((T, C))
     C, T = C[order], T[order]
     pair = starts(C, T)
@@ -258,7 +295,8 @@ def evaluate(held: list[tuple[int, bytes]], uni: Unigrams) -> Iterator[pa.Record
     back = np.empty(len(order), np.uint32)
     back[order] = np.repeat(np.arange(len(pair), dtype=np.uint32), runs(pair, len(order)))
     C, T = C[pair], T[pair]
-    del order, own
+    token = back[rows]
+    del order, own, back, rows, M
     context = starts(C)
     of = np.repeat(np.arange(len(context)), runs(context, len(C)))
     total = np.add.reduceat(n, context)
@@ -268,28 +306,33 @@ def evaluate(held: list[tuple[int, bytes]], uni: Unigrams) -> Iterator[pa.Record
     plus = (few.sum(axis=0) == 0) & (total > 0)
     seen = n > 0
     value = np.where(seen, np.log10(np.maximum(n, 1) / np.maximum(total + plus, 1)[of]), np.log10(p))
-    token = back[rows]
-    docs = len(keys)
-    add = lambda x: np.bincount(D, weights=x, minlength=docs)
-    score, plain, known = add(value[token]), add(uni.base(counts[T])[token]), add((counts[T] > 0)[token])
-    low = np.stack([add((n == r)[token]) for r in range(1, CUT + 1)])
-    lost = ~seen & (total > 0)[of]
-    gone = lost[token]
-    back_to = of[token][gone]
-    ctx, which = np.unique(back_to, return_inverse=True)
+    add = lambda x: np.bincount(D, weights=x[token], minlength=base)
+    tokens = np.bincount(D, minlength=base)
+    here = np.flatnonzero(tokens)
+    batch = np.repeat(np.arange(len(names)), sizes)[here]
+    local = here - (np.cumsum(sizes) - sizes)[batch]
+    low = [small(add(n == r)[here].astype(np.int64)) for r in range(1, CUT + 1)]
+    gone = (~seen & (total > 0)[of])[token]
+    place = np.cumsum(tokens > 0) - 1
+    ctx, which = np.unique(of[token[gone]], return_inverse=True)
     numbers = np.bincount(n[(n > 0) & (n <= CUT + 1)], minlength=CUT + 2)[1:].tolist()
-    blob = dump(keys, score, plain, small(known.astype(np.int64)), small(np.bincount(D, minlength=docs)), *(small(x.astype(np.int64)) for x in low), small(D[gone]), small(which), *(small(x[ctx]) for x in few), (total + plus)[ctx].astype(np.int64), left[ctx], plus[ctx].astype(np.uint8))
-    yield pa.RecordBatch.from_arrays([pa.array([numbers], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["numbers", "blob"])
+    blob = dump(np.array(names, np.uint64), np.bincount(batch, minlength=len(names)), small(local), add(value)[here], add(uni.base(counts[T]))[here], small(add(counts[T] > 0)[here].astype(np.int64)), small(tokens[here]), *low,
+                small(place[D[gone]]), small(which), *(small(x[ctx]) for x in few), (total + plus)[ctx].astype(np.int64), left[ctx], plus[ctx].astype(np.uint8))
+    yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([numbers], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["kind", "numbers", "blob"])
 
 
-def finish(blob: bytes, d: np.ndarray) -> tuple[np.ndarray, ...]:
-    """k, score, base score, known and all tokens of each document in a bucket."""
-    keys, score, plain, known, tokens, *rest = load(blob)
+def finish(blob: bytes, d: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(batch, blob) with place, score, base score, known and all tokens of the documents of
+    each batch that the bucket has tokens of."""
+    names, many, local, score, plain, known, tokens, *rest = load(blob)
     low, (doc, which), few, (total, left, plus) = rest[:CUT], rest[CUT : CUT + 2], rest[CUT + 2 : 2 * CUT + 2], rest[2 * CUT + 2 :]
     score = score + sum(np.log10(d[r]) * low[r] for r in range(CUT))
     mass = sum((1 - d[r]) * (r + 1) * few[r].astype(np.float64) for r in range(CUT)) + plus
     alpha = np.log10(mass / total / left)
-    return keys, score + np.bincount(doc, weights=alpha[which], minlength=len(keys)), plain, known.astype(np.int64), tokens.astype(np.int64)
+    score = score + np.bincount(doc, weights=alpha[which], minlength=len(score))
+    ends = np.cumsum(many)
+    for name, a, b in zip(names.tolist(), ends - many, ends):
+        yield name, dump(np.array([name], np.uint64), local[a:b], score[a:b], plain[a:b], small(known[a:b]), small(tokens[a:b]))
 
 
 def score_documents(docs: DataFrame, held=None) -> DataFrame:
@@ -309,7 +352,9 @@ def score_documents(docs: DataFrame, held=None) -> DataFrame:
         stats += load(row.blob)[0]
     uni = Unigrams(stats)
     both = table.filter("bucket >= 0").unionByName(pair_blobs(plain, buckets))
-    evaluated = written(by_bucket(both, buckets, lambda h: evaluate(h, uni), "numbers array<long>, blob binary", "kind"), "evaluated")
+    evaluated = written(by_bucket(both, buckets, lambda h: evaluate(h, uni), "kind int, numbers array<long>, blob binary", "kind"), "evaluated")
+    del both
+    forget(table)
     release(spark)
     n = [r.n for r in evaluated.select(F.posexplode("numbers").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).orderBy("r").collect()]
     d = discounts(np.array(n)) if n else np.ones(CUT)
@@ -317,22 +362,23 @@ def score_documents(docs: DataFrame, held=None) -> DataFrame:
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for blob in b.column(0).to_pylist():
-                k, *cols = finish(blob, d)
-                to = (k.astype(np.uint64) >> np.uint64(33)) % np.uint64(groups)
-                by = np.argsort(to, kind="stable")
-                ends = np.searchsorted(to[by], np.arange(groups + 1, dtype=np.uint64))
-                where = np.flatnonzero(np.diff(ends))
-                part = [by[ends[g] : ends[g + 1]] for g in where]
-                yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([dump(k[r], *(c[r] if c.dtype == np.float64 else small(c[r]) for c in cols)) for r in part], pa.binary())], names=["bucket", "blob"])
-
-    def total(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        k, *cols = (np.concatenate(x) for x in zip(*map(load, blobs)))
-        keys, at = np.unique(k, return_inverse=True)
-        sums = [np.bincount(at, weights=c, minlength=len(keys)) for c in cols]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], names=["k", "score", "base_score", "n_known", "n_tokens"])
-
-    sums = by_bucket(evaluated.select("blob").mapInArrow(final, "bucket long, blob binary"), groups, total, "k long, score double, base_score double, n_known double, n_tokens double")
+            for kind, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = list(finish(blob, d)) if kind == 1 else [(int(load(blob)[0][0]), blob)]
+                yield pa.RecordBatch.from_arrays([pa.array([name % groups for name, _ in found], pa.int64()), pa.array([kind] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "kind", "blob"])
+
+    def total(held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        keys = {int(name[0]): k for name, k in (load(x) for kind, x in held if kind == 2)}
+        sums = {name: np.zeros((4, len(k))) for name, k in keys.items()}
+        for kind, blob in held:
+            if kind == 1:
+                name, local, *cols = load(blob)
+                for row, c in zip(sums[int(name[0])], cols):
+                    row[local] += c
+        for name, k in keys.items():
+            yield pa.RecordBatch.from_arrays([pa.array(k), *map(pa.array, sums[name])], names=["k", "score", "base_score", "n_known", "n_tokens"])
+
+    parts = by_bucket(evaluated.select("kind", "blob").mapInArrow(final, "bucket long, kind int, blob binary"), groups, total, "k long, score double, base_score double, n_known double, n_tokens double", "kind")
+    sums = parts.groupBy("k").agg(*(F.sum(c).alias(c) for c in ("score", "base_score", "n_known", "n_tokens")))
     keyed = rows.select("doc_id", "k", "held_out")
     times = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("times"), F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"))
     whole = lambda c: F.round(F.col(c) / F.col("times")).cast("long").alias(c)
