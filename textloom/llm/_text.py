@@ -31,7 +31,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _powers[base] = have
     return have[:n]
 
