@@ -34,8 +34,8 @@ from textloom.scratch import forget, release, written
 from textloom.sizes import pieces
 
 CUT = 5
-BUCKET_BYTES = 9 << 20
-PACK_BYTES = 12 << 20
+BUCKET_BYTES = 7 << 20
+PACK_BYTES = 8 << 20
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _KINDS = [np.dtype(k) for k in ("u1", "u2", "u4", "u8", "i8", "f8")]
 
@@ -120,10 +120,13 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ..
         held.append((c, t, (np.repeat(np.arange(len(n)), n + 1) + base).astype(np.uint32), b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)))
         size, base = size + sum(map(len, texts)), base + len(texts)
         if size >= PACK_BYTES:
-            yield tuple(np.concatenate(x) for x in zip(*held))
+            whole = [np.concatenate(x) for x in zip(*held)]
             held, size, base = [], 0, 0
+            yield whole.pop(0), whole.pop(0), *whole
     if held:
-        yield tuple(np.concatenate(x) for x in zip(*held))
+        whole = [np.concatenate(x) for x in zip(*held)]
+        held = []
+        yield whole.pop(0), whole.pop(0), *whole
 
 
 def word_table(rows: DataFrame, buckets: int, partitions: int) -> DataFrame:
