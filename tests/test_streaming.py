@@ -18,3 +18,19 @@ def test_restart_goes_on_behind_the_last_batch(spark, tmp_path):
     assert got == want and 0 < half < len(want) and spark.read.parquet(f"{out}/docs").count() == len(want)
     tally = progress(spark, out).agg({"docs_seen": "sum", "docs_kept": "sum"}).first()
     assert sorted(tally) == sorted([docs.count(), len(want)])
+
+
+def test_rates_are_told(spark, tmp_path):
+    from textloom.streaming.rates import RateListener
+
+    told = []
+    listener = RateListener(lambda seen, rate, left: told.append((seen, left)), total=200)
+    spark.streams.addListener(listener)
+    try:
+        source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1).write.parquet(source)
+        ingest(spark, source, SCHEMA, out, state).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(listener)
+    assert told and told[-1][0] == 200

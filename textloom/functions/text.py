@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # Unicode white space, line boundaries.
 WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # Lines that start like one of these are boilerplate.
@@ -48,7 +49,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, f"^[{WHITE}]+", ""), f"[{WHITE}]+\\z", "")
+    return F.btrim(text, F.lit(WHITE_CHARS))
 
 
 def split_lines(text: Column) -> Column:
@@ -67,7 +68,7 @@ def words(text: Column) -> Column:
 
 def non_alnum_ratio(line: Column) -> Column:
     """Share of characters that aren't ASCII letters or digits; 1 for an empty line."""
-    found = F.regexp_count(line, F.lit("[a-zA-Z0-9]"))
+    found = F.length(line) - F.length(F.regexp_replace(line, "[a-zA-Z0-9]+", ""))
     return F.when(F.length(line) == 0, F.lit(1.0)).otherwise(F.lit(1.0) - found / F.length(line))
 
 
@@ -93,24 +94,33 @@ def ngrams(words_: Column, n: int) -> Column:
 def repetition_ratio(words_: Column, n: int, top_k: int) -> Column:
     """Share of the n-grams that the top_k commonest ones make up; 0 below 2n words.
 
-    Sorted in place: run ends give the counts, so nothing is exploded or shuffled.
+    N-grams are counted by 64-bit hashes, sorted in place: run ends give the counts, so
+    nothing is exploded or shuffled.
     """
 
+    def hashes(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, n)))
+
     def counts(sorted_: Column) -> Column:
         many = F.size(sorted_)
         ends = F.filter(F.sequence(F.lit(1), many), lambda i: (i == many) | (F.get(sorted_, i) != F.get(sorted_, i - 1)))
         return let(ends, lambda e: F.transform(e, lambda x, k: x - F.when(k == 0, 0).otherwise(F.get(e, k - 1))))
 
     top = lambda c: F.aggregate(F.slice(F.sort_array(c, False), 1, top_k), F.lit(0), lambda a, x: a + x)
-    ratio = let(F.array_sort(ngrams(words_, n)), lambda g: top(counts(g)) / F.size(g))
-    return F.when(F.size(words_) < 2 * n, F.lit(0.0)).otherwise(ratio)
+    ratio = lambda w: let(F.sort_array(hashes(w)), lambda g: top(counts(g)) / F.size(g))
+    return let(words_, lambda w: F.when(F.size(w) < 2 * n, F.lit(0.0)).otherwise(ratio(w)))
 
 
-def ocr_ratio(text: Column, prefix: int, least: int) -> Column:
-    """Share of damaged words among those of the first ``prefix`` characters, which is all
-    that the rule looks at; 0 with fewer than ``least``."""
+def ocr_ratio(words_: Column, least: int) -> Column:
+    """Share of damaged words; 0 with fewer than ``least``. The rule gives it the words of
+    the first characters only."""
     pattern = "|".join(OCR_DAMAGE)
-    return let(words(F.substring(text, 1, prefix)), lambda w: F.when(F.size(w) < least, F.lit(0.0)).otherwise(F.size(F.filter(w, lambda x: x.rlike(pattern))) / F.size(w)))
+    return let(words_, lambda w: F.when(F.size(w) < least, F.lit(0.0)).otherwise(F.size(F.filter(w, lambda x: x.rlike(pattern))) / F.size(w)))
+
+
+def single_spaced_words(text: Column) -> Column:
+    """The words of a text that :func:`normalize_whitespace` made, or of its beginning."""
+    return F.filter(F.split(text, " "), lambda w: w != "")
 
 
 def exact_key(text: Column) -> Column:

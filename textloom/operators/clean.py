@@ -48,11 +48,11 @@ def clean_documents(docs: DataFrame, cfg: PipelineConfig = DEFAULT, column: str
         F.when(F.length(T.strip(raw)) == 0, "empty")
         .when(F.size("_lines") == 0, "no_lines_left")
         .when(F.length(text) < cfg.min_doc_chars, "too_short")
-        .when(T.repetition_ratio(T.words(text), cfg.ngram_n, cfg.repetition_top_k) > cfg.max_repetition_ratio, "repetitive")
+        .when(T.repetition_ratio(F.split(text, " "), cfg.ngram_n, cfg.repetition_top_k) > cfg.max_repetition_ratio, "repetitive")
         .when(~english(text), "non_english")
     )
     if cfg.ocr_filter:
-        reason = reason.when(T.ocr_ratio(text, cfg.language_prefix_chars, cfg.min_ocr_tokens) > cfg.max_ocr_word_ratio, "ocr_garbage")
+        reason = reason.when(T.ocr_ratio(T.single_spaced_words(F.substring(text, 1, cfg.language_prefix_chars)), cfg.min_ocr_tokens) > cfg.max_ocr_word_ratio, "ocr_garbage")
     return staged.withColumn("reason", reason.otherwise("kept")).withColumn("clean", F.when(F.col("reason") == "kept", text).otherwise("")).drop("_lines", "_text")
 
 

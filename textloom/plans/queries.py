@@ -147,7 +147,7 @@ def _(spark, d):
 
 @query("ocr_ratio", f"WITH b AS (SELECT doc_id, text AS t FROM documents), {_ocr('t')} SELECT doc_id, round(coalesce(ratio, 0), 9) AS ratio FROM b LEFT JOIN ocr USING (doc_id)")
 def _(spark, d):
-    return _docs(spark, d).select("doc_id", F.round(T.ocr_ratio(F.col("text"), 5000, 20), 9).alias("ratio"))
+    return _docs(spark, d).select("doc_id", F.round(T.ocr_ratio(T.words(F.substring("text", 1, 5000)), 20), 9).alias("ratio"))
 
 
 @query("clean_documents", f"WITH {CLEANED} SELECT doc_id, source, reason, clean FROM cleaned")
