@@ -28,7 +28,7 @@ def test_each_stage_does_its_operators_work(spark):
     fine = {r.doc_id for r in spark.read.parquet(f"{DIR}/labels.parquet").filter("toxic = 0").collect()}
     assert clean < start and len(fine - clean) <= 2 and len(bad - clean) >= len(bad) / 2
     kept = {r.doc_id for r in seen["simhash_near_dedup"].collect()}
-    assert kept == {r.doc_id for r in simhash.near_duplicates(seen["toxicity"], shingle_words=5).filter("doc_id = component_id").collect()}
+    assert kept == {r.doc_id for r in simhash.near_duplicates(seen["toxicity"], 7, 5).filter("doc_id = component_id").collect()}
     cut = Counter((r.doc_id, r.n_words - r.n_removed) for r in substring.find_repeats(seen["simhash_near_dedup"]).collect())
     assert Counter((r.doc_id, len(r.text.encode().split())) for r in seen["substring_dedup"].collect()) == cut
     words = Counter()

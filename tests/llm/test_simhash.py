@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 
 from textloom.llm import simhash
@@ -44,25 +45,26 @@ def test_fingerprints_and_components(spark):
     assert got == sorted(components([(d, fp(t)) for d, t in rows]), key=str)
 
 
-def test_links_of_random_bit_patterns(spark):
-    """Close fingerprints in numbers: every distance from 0 to 6, chains and stars."""
+@pytest.mark.parametrize("distance", [1, 4, 7])
+def test_links_of_random_bit_patterns(spark, distance):
+    """Close fingerprints in numbers: every distance from 0 to 8, chains and stars."""
     rng = random.Random(4)
     values = []
     for _ in range(30):
         x = rng.getrandbits(64)
         values.append(x)
-        for k in range(1, 7):
+        for k in range(1, 9):
             y = x
             for b in rng.sample(range(64), k):
                 y ^= 1 << b
             values.append(y)
     prints = list(dict.fromkeys(values))
     signed = [(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(prints)]
-    links = simhash.link_fingerprints(spark.createDataFrame(signed, "doc_id long, fp long"))
+    links = simhash.link_fingerprints(spark.createDataFrame(signed, "doc_id long, fp long"), distance)
     from textloom.operators.components import connected_components
 
     comp = {r.node: r.component for r in connected_components(links).collect()}
-    want = components([(s, v) for (_, s), v in zip(signed, prints)])
+    want = components([(s, v) for (_, s), v in zip(signed, prints)], distance)
     assert {s: comp.get(s, s) for _, s in signed} == {s: c for s, _, c in want}
 
 
