@@ -68,6 +68,16 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return mix((sums[end] - sums[start]) * _power(INVERSE, len(a) + 1)[start] + (end - start).astype(np.uint64))
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time, so that Python objects are made for those only;
+    memory of a finished batch goes back to the system."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Cuts batches (with a ``text`` column) so that a slice holds about ``most_bytes``
     of text, or one longer document."""
@@ -82,6 +92,7 @@ def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 400_000) -> Iter
             stop = max(start + 1, int(np.searchsorted(upto, before + most_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

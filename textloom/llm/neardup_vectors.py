@@ -141,3 +141,12 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_embedding_dedup": op4_embedding_dedup}
+
+ORACLE_SQL = {
+    "op4_embedding_dedup": """WITH RECURSIVE ok AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT a AS node, a AS root FROM p UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.node),
+c AS (SELECT node, min(root) AS root FROM r GROUP BY node), n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.root, vec_id) AS component_id, coalesce(c.root, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.node = vec_id"""
+}

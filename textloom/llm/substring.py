@@ -24,22 +24,22 @@ each other; repeated rows each give a row; other columns are ignored or, in
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
-from textloom.scratch import written
 from textloom.sizes import pieces
 
 WINDOW = 13
 GRAM = 5
 #: Bytes of input for each bucket of anchors, and of text packed at once.
 BUCKET_BYTES = 2 << 20
-PACK_BYTES = 6 << 20
+PACK_BYTES = 4 << 20
 
 _B = np.uint64(_text.BASE)
 
@@ -117,8 +117,8 @@ def pack(docs: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
             held.append((h, d + base, *rest, keys))
             size, base = size + sum(map(len, texts)), base + len(texts)
             if size >= PACK_BYTES:
-                yield from emit(held)
-                held, size, base = [], 0, 0
+                full, held, size, base = held, [], 0, 0
+                yield from emit(full)
         if held:
             yield from emit(held)
 
@@ -222,17 +222,32 @@ def _with_spans(docs: DataFrame, window: int, gram: int):
     partitions = pieces(docs, 4 * BUCKET_BYTES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = marks(pack(docs, 4 * partitions, window, gram), partitions, window)
     spans = found.groupBy("k1", "k2").agg(F.collect_list("spans").alias("spans"))
-    return docs.select(F.struct("*").alias("doc"), *_key()).join(spans, ["k1", "k2"], "left")
+    rest = F.struct(*(c for c in docs.columns if c != "text")) if len(docs.columns) > 1 else F.struct(F.lit(0).alias("none"))
+    keyed = docs.select(rest.alias("doc"), *_key(), "text")
+    kind = keyed.schema["doc"].dataType.simpleString()
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fast = zstandard.ZstdCompressor(level=1)
+        for b in _text.parts(batches):
+            texts = [None if t is None else fast.compress(t) for t in b.column(3).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(texts, pa.binary())], names=["doc", "k1", "k2", "text"])
+
+    return keyed.mapInArrow(press, f"doc {kind}, k1 long, k2 long, text binary").join(spans, ["k1", "k2"], "left")
+
+
+def _unpressed() -> Callable[[bytes | None], bytes | None]:
+    back = zstandard.ZstdDecompressor()
+    return lambda x: None if x is None else back.decompress(x)
 
 
 def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256: a row for each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            total, lost, shas = [], [], []
-            for text, spans in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-                words = (text or b"").split()
+        for b in _text.parts(batches):
+            total, lost, shas, text_of = [], [], [], _unpressed()
+            for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                words = (text_of(text) or b"").split()
                 n = 0
                 if spans:
                     gone = lost_words(len(words), spans)
@@ -244,12 +259,11 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(lost, pa.int64()), pa.array(shas, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     rows = _with_spans(docs.select("doc_id", "text"), window, gram)
-    return rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "doc.text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def cut(text: str, spans: list[bytes]) -> str:
-    """``text`` without its covered words and the white space behind each."""
-    raw = text.encode()
+def cut(raw: bytes, spans: list[bytes]) -> bytes:
+    """``raw`` without its covered words and the white space behind each."""
     _, start, _ = _text.spans(raw)
     gone = lost_words(len(start), spans)
     upto = np.append(start[1:], len(raw))
@@ -257,7 +271,7 @@ def cut(text: str, spans: list[bytes]) -> str:
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).astype(np.int8)))
     for a, b in zip(edge[::2], edge[1::2]):
         left.append(raw[start[a] : upto[b - 1]])
-    return b"".join(left).decode()
+    return b"".join(left)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -265,14 +279,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     nothing stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = [cut(t, s) if s and t is not None else t for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["doc", "kept"])
+        text_of = _unpressed()
+        for b in _text.parts(batches):
+            text = [cut(text_of(t), s) if s and t is not None else text_of(t) for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.binary()).cast(pa.string())], names=["doc", "kept"])
 
     rows = _with_spans(docs, window, gram)
-    rest = F.col("doc").dropFields("text") if len(docs.columns) > 1 else F.struct(F.lit(0).alias("none"))
-    kind = rows.select(rest.alias("doc")).schema["doc"].dataType.simpleString()
-    out = rows.select(rest.alias("doc"), F.col("doc.text").alias("text"), "spans").mapInArrow(run, f"doc {kind}, kept string")
+    out = rows.select("doc", "text", "spans").mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, kept string")
     cols = {c: F.col("kept") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns}
     if "n_chars" in cols:
         cols["n_chars"] = F.length("kept").cast("long")
@@ -284,3 +297,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}
+
+ORACLE_SQL = {
+    "op3_substring_dedup": r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(list_slice(w, i, i + 12), ' '))) AS g FROM d WHERE len(w) >= 13),
+m AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
+lost AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM g JOIN m USING (g) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM words ANTI JOIN lost USING (doc_id, k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM lost GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+}
