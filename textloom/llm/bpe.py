@@ -27,12 +27,14 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.llm import _text
+
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: A match that ends this near the end of a cut chunk might change with what follows.
 GUARD = 3
 #: Pre-tokens whose ids a worker remembers.
-MEMORY = 300_000
+MEMORY = 60_000
 #: Unicode White_Space, fixed values: what ``\s`` means to the pattern.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -151,7 +153,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _get(shared, pattern)
-        for b in batches:
+        for b in _text.parts(batches):
             rows = [result(*codec.pieces(t)) for t in b.column(1).to_pylist()]
             cols = [b.column(0).cast(pa.int64()), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds[1:]))] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(cols, names=names)
