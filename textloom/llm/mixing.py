@@ -33,6 +33,7 @@ BLOCK_WORDS = 512
 SHARDS = 64
 BUCKETS = 4096
 MOST_REPEATS = 3
+BROADCAST_NUMBERS = 1 << 20
 WEIGHTS = (1, 2, 3)
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,6 +118,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return written(same, "mixing").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
 
 
+def _small(table: DataFrame, numbers: int) -> DataFrame:
+    """A table of the catalogue's sources: broadcast up to BROADCAST_NUMBERS numbers, so that a
+    hot source stays spread over tasks; beyond that joined as Spark chooses."""
+    return F.broadcast(table) if numbers <= BROADCAST_NUMBERS else table
+
+
 def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, shards: int = SHARDS, seed: int = 7, block_words: int = BLOCK_WORDS, buckets: int = BUCKETS) -> DataFrame:
     """A row for each block of each document: doc_id, source, k1, k2, copy, size,
     source_size, target, block, words, and ``draws``, an array of (epoch, words taken,
@@ -137,7 +144,7 @@ def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: in
     catalogue = sorted(((r.source, r.n, r.w) for r in counts.groupBy("source").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     goals = targets([w for _, _, w in catalogue], [weights[i % len(weights)] for i in range(len(catalogue))], most_repeats)
     plan = [(s, n, w, goal, *divmod(round(goal), max(w, 1))) for (s, n, w), goal in zip(catalogue, goals)]
-    plan_df = spark.createDataFrame(plan, "source string, n long, source_size long, target double, full long, rest long")
+    plan_df = _small(spark.createDataFrame(plan, "source string, n long, source_size long, target double, full long, rest long"), len(plan) * 8)
 
     in_bucket = Window.partitionBy("b.source", "b.bucket").orderBy("prio", "k1", "k2", "copy", "block")
     ranked = (
@@ -152,7 +159,7 @@ def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: in
     last = {r.source: r.q for r in _partial(starts, blocks, plan_df).collect()}
     quotas = [n * full + last.get(s, 0) for s, n, _, _, full, _ in plan]
     ends = [np.cumsum(row).tolist() for row in split_quotas(quotas, shards, seed)]
-    ends_df = spark.createDataFrame([(p[0], e) for p, e in zip(plan, ends)], "source string, ends array<long>")
+    ends_df = _small(spark.createDataFrame([(p[0], e) for p, e in zip(plan, ends)], "source string, ends array<long>"), len(plan) * shards)
 
     def place(epoch: Column) -> Column:
         at = epoch * F.col("n") + F.col("rank")
