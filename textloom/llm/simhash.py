@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.llm import _text
 from textloom.operators.components import connected_components
 from textloom.scratch import written
 
@@ -57,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     """doc_id, fp (signed 64-bit): a row for each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _text.parts(batches):
             fp = np.fromiter((fingerprint(t or b"", shingle_words) for t in b.column(1).cast(pa.binary()).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
@@ -80,7 +81,7 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     out; the components are those of all links."""
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # 8-byte rows become 64 variants each: keep them spread over all tasks
-    distinct = fps.select("fp").repartition(parts, "fp").distinct()
+    distinct = fps.select("fp").distinct().repartition(parts)
     # pass 1: fingerprints that share a whole-length one-bit deletion point at its smallest
     masks = [(k, _signed(~(1 << k) & (1 << 64) - 1)) for k in range(64)]
     variants = F.explode(F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in masks)))
