@@ -80,3 +80,14 @@ def test_one_of_each_group_stays(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0 and simhash.keep_one(df).count() == 0
+
+
+def test_rows_with_null_or_repeated_ids_stay(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(300)) for _ in range(6)]
+    near = [t + " end" for t in texts]
+    rows = [(None, texts[0]), (None, texts[1]), (None, near[1]), (7, texts[2]), (7, texts[3]), (9, near[2]), (7, near[4]), (3, texts[4]), (None, texts[5]), (8, near[5]), (8, near[5])]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 7, 5).collect()]
+    assert len(kept) == 6
+    assert {(None, texts[0]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (8, near[5])} < set(kept)
+    assert len({(None, texts[1]), (None, near[1])} & set(kept)) == 1

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
@@ -36,33 +36,43 @@ SEED = 42
 BLOCK = 16_384
 
 
-def fingerprint(raw: bytes, words: int = SHINGLE_WORDS) -> int:
-    """The unsigned fingerprint of a text's UTF-8 bytes."""
+def shingle_hashes(raw: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """XXH64 of each shingle of a text's UTF-8 bytes, in order; none without words."""
     parts = raw.lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     n = max(1, len(parts) - words + 1)
     line = b" ".join(parts)
     upto = np.cumsum([len(p) + 1 for p in parts])
     start = (upto - [len(p) + 1 for p in parts])[:n].tolist()
     end = (upto[min(words, len(parts)) - 1 :] - 1).tolist()
     digest, seed = xxhash.xxh64_intdigest, SEED
+    return np.fromiter((digest(line[a:b], seed) for a, b in zip(start, end)), np.uint64, n)
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The unsigned fingerprint of shingle hashes."""
     total = np.zeros(64, np.int64)
-    for i in range(0, n, BLOCK):
-        h = np.array([digest(line[a:b], seed) for a, b in zip(start[i : i + BLOCK], end[i : i + BLOCK])], np.uint64)
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > n, bitorder="little").view(np.uint64)[0])
+    for i in range(0, len(hashes), BLOCK):
+        total += np.unpackbits(hashes[i : i + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(raw: bytes, words: int = SHINGLE_WORDS) -> int:
+    """The unsigned fingerprint of a text's UTF-8 bytes."""
+    return folded(shingle_hashes(raw, words))
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (signed 64-bit): a row for each row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, h: Column | None = None) -> DataFrame:
+    """doc_id, fp (signed 64-bit) and, if given, ``h``: a row for each row of ``docs``."""
+    more = [] if h is None else ["h"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.parts(batches):
             fp = np.fromiter((fingerprint(t or b"", shingle_words) for t in b.column(1).cast(pa.binary()).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(h.alias("h") for _ in more)).mapInArrow(run, "doc_id long, fp long" + ", h long" * len(more))
 
 
 def segments(distance: int = DISTANCE, bits: int = 64) -> list[tuple[int, int]]:
@@ -125,13 +135,33 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle_words: in
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.lit(SEED), "text")
+
+
+def _row(doc_id: str = "doc_id", h: str = "h") -> Column:
+    """Orders rows by doc_id, those without one last, then by the hash of the text."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.col(h).alias("h"))
+
+
+def _is_row(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``rows`` (doc_id, h) names; null is a doc_id like any other."""
+    named = rows.select(F.col("doc_id").alias("_id"), F.col("h").alias("_named"))
+    return docs.withColumn("_h", _text_key()).join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_named")), "left_semi")
+
+
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """One row of each near-duplicate group stays: of those with the smallest doc_id, one."""
-    found = near_duplicates(docs, distance, shingle_words)
-    kept = written(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct(), "kept")
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    one = docs.select("*", row.alias("_row")).filter("_row = 1").drop("_row")
-    return one.join(kept, F.col("doc_id") == F.col("_keep"), "left_semi")
+    """One row of each near-duplicate group stays: that with the smallest doc_id (null is
+    last), of several the one whose text has the smallest hash. """
+    rows = written(fingerprints(docs, shingle_words, _text_key()), "fingerprints")
+    comp = connected_components(link_fingerprints(rows, distance))
+    first = rows.groupBy("fp").agg(F.min(_row()).alias("row"))
+    named = first.join(comp, first.fp == comp.node, "left").select("row", F.coalesce("component", "fp").alias("c"))
+    kept = written(named.groupBy("c").agg(F.min("row").alias("row")).select("row.doc_id", "row.h"), "kept")
+    # rows of one doc_id and one text: the first by all their columns
+    order = F.xxhash64(*docs.columns)
+    row = F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy(order))
+    return _is_row(docs, kept).select("*", row.alias("_row")).filter("_row = 1").drop("_row", "_h")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
