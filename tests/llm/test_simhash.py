@@ -82,12 +82,40 @@ def test_empty_table(spark):
     assert simhash.near_duplicates(df).count() == 0 and simhash.keep_one(df).count() == 0
 
 
-def test_rows_with_null_or_repeated_ids_stay(spark):
+def jaccard(a, b, n=5):
+    sets = []
+    for t in (a, b):
+        w = (t or "").encode().lower().split()
+        sets.append({b" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_links_are_jaccard_of_the_texts(spark):
+    """Against all pairs: the table has pairs above 0.8 that are 11 and 17 bits apart, and one
+    of 0.76 that is within 7."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    root = {d: d for d in rows}
+    for a in rows:
+        for b in rows:
+            if a < b and root[a] != root[b] and jaccard(rows[a], rows[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    kept = simhash.keep_one(docs, distance=7, shingle_words=5, jaccard=0.8)
+    assert kept.columns == docs.columns
+    got = sorted(r.doc_id for r in kept.collect())
+    assert got == sorted(set(root.values())) and 192 in got and not {145, 177} & set(got)
+    empty = spark.createDataFrame([(1, None), (2, ""), (3, "a")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(empty, 7, 5, 0.8).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("similar", [None, 0.8])
+def test_rows_with_null_or_repeated_ids_stay(spark, similar):
     rng = random.Random(9)
     texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(300)) for _ in range(6)]
     near = [t + " end" for t in texts]
     rows = [(None, texts[0]), (None, texts[1]), (None, near[1]), (7, texts[2]), (7, texts[3]), (9, near[2]), (7, near[4]), (3, texts[4]), (None, texts[5]), (8, near[5]), (8, near[5])]
-    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 7, 5).collect()]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 7, 5, jaccard=similar).collect()]
     assert len(kept) == 6
     assert {(None, texts[0]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (8, near[5])} < set(kept)
     assert len({(None, texts[1]), (None, near[1])} & set(kept)) == 1
