@@ -40,3 +40,17 @@ def test_each_stage_does_its_operators_work(spark):
     assert words == want
     assert seen["byte_level_bpe"].count() == seen["mixing"].count()
     assert bpe and toxicity
+
+
+def test_last_stage_returns_the_encoded_corpus(spark):
+    import hashlib
+
+    rows = [(1, "Ünï one  two\n"), (None, ""), (2, "word 12 " * 9000), (2, "word 12 " * 9000), (3, None)]
+    out = corpus_pipeline.bpe_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), DIR).collect()
+    assert sorted((str(r.doc_id), bytes(r.decoded).decode()) for r in out) == sorted((str(d), t or "") for d, t in rows)
+    import public_tokenizers
+
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    for r in out:
+        assert codec.decode(r.ids) == r.decoded and len(r.ids) == r.n_tokens
+        assert hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256

@@ -21,6 +21,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -149,11 +150,11 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if keep_ids else [])
 
     def result(n: int, ids: str, raw: bytes) -> tuple:
-        return _shas(n, ids, raw) + (([int(x) for x in ids.split()], raw) if keep_ids else ())
+        return _shas(n, ids, raw) + ((np.array(ids.split(), np.int32), raw) if keep_ids else ())
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _get(shared, pattern)
-        for b in _text.parts(batches):
+        for b in _text.slices(batches):
             rows = [result(*codec.pieces(t)) for t in b.column(1).to_pylist()]
             cols = [b.column(0).cast(pa.int64()), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds[1:]))] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(cols, names=names)
@@ -204,7 +205,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool
             if text:
                 row = result(*codec.pieces("".join(text)))
             else:
-                row = (n, ids.hexdigest(), raw.hexdigest()) + (([int(x) for part in kept[0] for x in part.split()], b"".join(kept[1])) if keep_ids else ())
+                row = (n, ids.hexdigest(), raw.hexdigest()) + ((np.concatenate(kept[0]), b"".join(kept[1])) if keep_ids else ())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*key, *row), [pa.int64(), *kinds])], names=["doc_id", "h", *names[1:]])
 
         for b in batches:
@@ -220,7 +221,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool
                 raw.update(bits)
                 n += m
                 if keep_ids:
-                    kept[0].append(some)
+                    kept[0].append(np.array(some.split(), np.int32))
                     kept[1].append(bits)
         if key:
             yield done()
