@@ -74,3 +74,26 @@ def test_mixed_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.draw(df).count() == 0 and mixing.mix_documents(df).count() == 0
+
+
+def test_shards_of_mixed_documents_hold_their_quotas(spark):
+    """Long texts too: partition i has the words that were drawn for shard i, by source."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{i}.{k}" for k in range(rng.choice([30, 2000]))), f"s{i % 3}", 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    want, blocks = defaultdict(int), defaultdict(int)
+    for r in mixing.draw(df, shards=4, block_words=50).collect():
+        for x in r.draws:
+            want[(x.shard, r.source)] += x.words
+            blocks[x.shard] += 1
+    out = mixing.mix_documents(df, shards=4, block_words=50).withColumn("shard", F.spark_partition_id()).collect()
+    got, words = defaultdict(int), defaultdict(int)
+    for r in out:
+        got[(r.shard, r.source)] += len(r.text.split())
+        for w in r.text.split():
+            words[(r.doc_id, w)] += 1
+    assert got == want and max(blocks.values()) - min(blocks.values()) <= 1
+    have = {(r[0], w) for r in rows for w in r[1].split()}
+    assert set(words) <= have and max(words.values()) <= 4

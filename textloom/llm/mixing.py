@@ -27,6 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.scratch import written
 
 BLOCK_WORDS = 512
@@ -181,29 +182,33 @@ def _partial(starts: DataFrame, blocks: DataFrame, plan: DataFrame) -> DataFrame
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: for each epoch in which a document
-    is taken, its text (whole when all its blocks are taken, else those blocks, each as
-    it stands, joined by a line break); rows are dealt to shards and shuffled in them."""
-    B = options.get("block_words", BLOCK_WORDS)
+    """The mix as rows with the columns of ``docs``, a row for each document, epoch and shard:
+    its text (whole when all its blocks are taken there, else those blocks, each as it
+    stands, joined by a line break). Partition i is shard i, shuffled, so that files
+    written from it are the shards and hold the drawn quotas."""
+    B, shards = options.get("block_words", BLOCK_WORDS), options.get("shards", SHARDS)
     drawn = draw(docs, **options)
     took = (
         drawn.filter(F.size("draws") > 0).withColumn("d", F.explode("draws"))
-        .groupBy("k1", "k2", "copy", "size", "d.epoch")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("block"), F.col("d.words").alias("words")))).alias("parts"), F.sum("d.words").alias("taken"), F.min("d.shard").alias("shard"), F.min("d.place").alias("place"))
+        .groupBy("k1", "k2", "copy", "size", "d.epoch", "d.shard")
+        .agg(F.sort_array(F.collect_list(F.struct(F.col("block"), F.col("d.words").alias("words")))).alias("parts"), F.sum("d.words").alias("taken"), F.min("d.place").alias("place"))
     )
     keep = F.when(F.col("taken") == F.col("size"), F.lit(None)).otherwise(F.col("parts"))
     take = took.groupBy("k1", "k2").agg(F.collect_list(F.struct(keep.alias("parts"), "shard", "place")).alias("takes"))
     # of rows that are equal in all that keys them one stands for all: ``takes`` has theirs
     one = docs.select(F.struct("*").alias("doc"), *_key()).withColumn("row", F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))).filter("row = 1")
-    joined = one.join(take, ["k1", "k2"]).select("doc", F.explode("takes").alias("t")).select("doc", "t.*")
-    # each word with the white space behind it, so that a block keeps its own
-    word = F.regexp_extract_all("doc.text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"))
-    pieces = F.transform("parts", lambda p: F.array_join(F.slice(word, (p["block"] * B + 1).cast("int"), p["words"].cast("int")), ""))
-    text = F.when(F.col("parts").isNull(), F.col("doc.text")).otherwise(F.array_join(pieces, "\n"))
-    out = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": text}
+    # each word with the white space behind it, so that a block keeps its own; a text is cut
+    # into words once, however many shards have some of it
+    word = F.when(F.exists("takes", lambda t: t["parts"].isNotNull()), F.regexp_extract_all("doc.text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)")))
+    piece = lambda w: lambda p: F.array_join(F.slice(w, (p["block"] * B + 1).cast("int"), p["words"].cast("int")), "")
+    text = lambda w, t: F.when(t["parts"].isNull(), F.col("doc.text")).otherwise(F.array_join(F.transform(t["parts"], piece(w)), "\n"))
+    rows = T.let(word, lambda w: F.transform("takes", lambda t: F.struct(text(w, t).alias("text"), t["parts"].isNull().alias("whole"), t["shard"].alias("shard"), t["place"].alias("place"))))
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c != "text")).alias("rest")
+    joined = one.join(take, ["k1", "k2"]).select(rest, F.explode(rows).alias("t")).select("rest", "t.*")
+    out = {c: F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns}
     if "n_chars" in out:
-        out["n_chars"] = F.when(F.col("parts").isNull(), F.col("doc.n_chars")).otherwise(F.length(text).cast("long"))
-    return joined.repartition("shard").sortWithinPartitions("shard", "place").select(*(v.alias(c) for c, v in out.items()))
+        out["n_chars"] = F.when(F.col("whole"), F.col("rest.n_chars")).otherwise(F.length("text").cast("long"))
+    return joined.repartitionById(shards, F.col("shard")).sortWithinPartitions("place").select(*(v.alias(c) for c, v in out.items()))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
