@@ -77,3 +77,34 @@ def test_schedule_tables(spark):
     p = spark.createDataFrame([(1, [9] * 10, 1020, True), (2, [1, 2, 3], 1024, False), (3, [], 5, False)], "id long, ids array<int>, max_new int, add_eos boolean")
     got = {r.id: (r.ids, r.truncated) for r in schedule.prompt_truncate(p).collect()}
     assert got == {1: ([9] * 4, 7), 2: ([3], 3), 3: ([], 0)}
+
+
+def test_merges_equal_brute_force_and_use_the_whole_sample(spark):
+    from collections import Counter
+
+    from textloom.plans import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = tokenizer.word_counts(docs.limit(40)).collect()
+    letters = tokenizer.byte_alphabet()
+    base = [*tokenizer.SPECIAL_TOKENS, *sorted(letters)]
+    ids = {c: i for i, c in enumerate(base)}
+    table = [[[ids[letters[b]] for b in r.word.encode()], r.n] for r in rows]
+    want = []
+    for new in range(len(base), 600):
+        pairs = Counter()
+        for w, n in table:
+            for p in zip(w, w[1:]):
+                pairs[p] += n
+        best = min(pairs, key=lambda p: (-pairs[p], p))
+        want.append((base[best[0]], base[best[1]]))
+        base.append("".join(want[-1]))
+        for word in table:
+            out = []
+            for x in word[0]:
+                # left to right: a merged pair doesn't take part again
+                out[-1:] = [new] if out and (out[-1], x) == best else [*out[-1:], x]
+            word[0] = out
+    assert tokenizer.train_merges(spark.createDataFrame(rows), 600) == want
+    whole = queries._merges(spark, "/root/testdata/sf0.001")
+    assert len(whole) > 600 and whole == tokenizer.train_merges(tokenizer.word_counts(docs))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -67,14 +68,20 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
             pairs[p] += weight[i]
             where[p].add(i)
     merges = []
-    while len(names) + len(SPECIAL_TOKENS) < vocab_size and pairs:
-        best = min(pairs, key=lambda p: (-pairs[p], p))
+    # the most frequent first; an entry whose count has changed since is passed over
+    queue = [(-n, p) for p, n in pairs.items()]
+    heapify(queue)
+    while len(names) + len(SPECIAL_TOKENS) < vocab_size and queue:
+        n, best = heappop(queue)
+        if pairs.get(best) != -n:
+            continue
         if pairs[best] < min_count:
             break
         new = len(names) + len(SPECIAL_TOKENS)
         names[new] = names[best[0]] + names[best[1]]
         merges.append((names[best[0]], names[best[1]]))
-        for i in list(where[best]):
+        changed = set()
+        for i in where[best]:
             old, out, k = table[i], [], 0
             while k < len(old):
                 if k + 1 < len(old) and (old[k], old[k + 1]) == best:
@@ -83,14 +90,24 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
                 else:
                     out.append(old[k])
                     k += 1
+            if len(out) == len(old):
+                continue  # an earlier merge took the pair from this word
             for p in zip(old, old[1:]):
                 pairs[p] -= weight[i]
+                changed.add(p)
             for p in zip(out, out[1:]):
                 pairs[p] += weight[i]
-                where[p].add(i)
+                changed.add(p)
+                if new in p:
+                    where[p].add(i)
             table[i] = out
         del where[best]
-        pairs = +pairs
+        for p in changed:
+            if pairs[p] > 0:
+                heappush(queue, (-pairs[p], p))
+            else:
+                del pairs[p]
+                where.pop(p, None)
     return merges
 
 

@@ -360,8 +360,14 @@ def _(spark, d):
     return tokenizer.word_counts(_docs(spark, d))
 
 
-def _merges(spark, d, vocab=600):
-    return tokenizer.train_merges(tokenizer.word_counts(tokenizer.sample_by_budget(_docs(spark, d), 10000)), vocab)
+def _merges(spark, d):
+    docs, most = _docs(spark, d), DEFAULT.sample_gb * 1e9
+    chars = docs.groupBy("source").agg(F.sum(F.length("text")).alias("chars"))
+    total = chars.agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
+    # beyond the sample's size each source gives its share of it
+    if total > most:
+        docs = tokenizer.sample_by_budget(docs, chars.select("source", F.ceil(F.col("chars") * (most / total)).alias("budget")))
+    return tokenizer.train_merges(tokenizer.word_counts(docs), DEFAULT.vocab_size)
 
 
 @query("bpe_merges")
