@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from heapq import heapify, heappop, heappush
 
@@ -57,16 +58,21 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
     letters = byte_alphabet()
     ids = {c: i + len(SPECIAL_TOKENS) for i, c in enumerate(sorted(letters))}
     names = {i: c for c, i in ids.items()}
-    table, weight = [], []
+    # flat arrays of machine integers: word i has sizes[i] ids from starts[i] on
+    flat, starts, sizes, weight = array("I"), array("Q"), array("I"), array("q")
     for row in counts.orderBy("word").toLocalIterator():
-        table.append([ids[letters[b]] for b in row.word.encode()])
+        raw = row.word.encode()
+        starts.append(len(flat))
+        flat.extend(ids[letters[b]] for b in raw)
+        sizes.append(len(raw))
         weight.append(row.n)
     pairs: Counter = Counter()
-    where = defaultdict(set)
-    for i, w in enumerate(table):
+    where = defaultdict(lambda: array("I"))
+    for i, at in enumerate(starts):
+        w = flat[at : at + sizes[i]]
         for p in zip(w, w[1:]):
             pairs[p] += weight[i]
-            where[p].add(i)
+            where[p].append(i)
     merges = []
     # the most frequent first; an entry whose count has changed since is passed over
     queue = [(-n, p) for p, n in pairs.items()]
@@ -82,7 +88,7 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
         merges.append((names[best[0]], names[best[1]]))
         changed = set()
         for i in where[best]:
-            old, out, k = table[i], [], 0
+            old, out, k = flat[starts[i] : starts[i] + sizes[i]], array("I"), 0
             while k < len(old):
                 if k + 1 < len(old) and (old[k], old[k + 1]) == best:
                     out.append(new)
@@ -91,7 +97,7 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
                     out.append(old[k])
                     k += 1
             if len(out) == len(old):
-                continue  # an earlier merge took the pair from this word
+                continue  # done already, or an earlier merge took the pair from this word
             for p in zip(old, old[1:]):
                 pairs[p] -= weight[i]
                 changed.add(p)
@@ -99,8 +105,9 @@ def train_merges(counts: DataFrame, vocab_size: int = DEFAULT.vocab_size, min_co
                 pairs[p] += weight[i]
                 changed.add(p)
                 if new in p:
-                    where[p].add(i)
-            table[i] = out
+                    where[p].append(i)
+            flat[starts[i] : starts[i] + len(out)] = out
+            sizes[i] = len(out)
         del where[best]
         for p in changed:
             if pairs[p] > 0:
