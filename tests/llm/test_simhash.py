@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -119,3 +120,24 @@ def test_rows_with_null_or_repeated_ids_stay(spark, similar):
     assert len(kept) == 6
     assert {(None, texts[0]), (7, texts[2]), (7, texts[3]), (3, texts[4]), (8, near[5])} < set(kept)
     assert len({(None, texts[1]), (None, near[1])} & set(kept)) == 1
+
+
+def test_similar_texts_in_small_blocks(spark, monkeypatch):
+    """Families of texts that are alike but mostly under 0.8, against brute force."""
+    from tests.llm.test_pipeline import brute_kept
+
+    monkeypatch.setattr(simhash, "BLOCK_GRAMS", 256)
+    monkeypatch.setattr(simhash, "COLUMNS", 64)
+    rng = np.random.default_rng(8)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(70)]
+        for k in range(40):
+            text = list(base)
+            for i in rng.choice(70, int(rng.integers(0, 4)), replace=False):
+                text[i] = f"x{rng.integers(1000)}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows), "few words"), (len(rows) + 1, "few words"), (len(rows) + 2, ""), (len(rows) + 3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in simhash.keep_one(df, shingle_words=5, jaccard=0.8).collect()}
+    assert got == brute_kept(df.collect())

@@ -13,6 +13,7 @@ fingerprints aren't emitted again.
 :func:`keep_one` deletes rows, so with ``jaccard`` a link also needs that similarity of
 the texts' sets of shingles. At 0.8 fingerprints differ by 10 bits on average and by 17
 at times, too many for segments; MinHash bands give the candidates beyond ``distance``.
+Texts without shingles are alike.
 
 Defined cases: null text and text without words have fingerprint zero and link like
 any other; fewer than four words are one shingle; repeated rows each give a row;
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
-from textloom.operators.components import connected_components
+from textloom.operators.components import connected_components, smallest_labels
 from textloom.scratch import written
 
 SHINGLE_WORDS = 4
@@ -41,6 +42,8 @@ BLOCK = 16_384
 #: MinHash bands and minima in a band: a pair of Jaccard similarity 0.8 shares no band with
 #: a probability of 0.0007, one of 0.85 of 0.00001.
 BANDS, ROWS = 24, 6
+#: Shingles in a block of a bucket, and columns of a block's matrix worked on at once.
+BLOCK_GRAMS, COLUMNS = 1 << 17, 8192
 _RANDOM = np.random.default_rng(SEED)
 _TIMES, _PLUS = (_RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(odd) for odd in (1, 0))
 
@@ -190,28 +193,82 @@ def _is_row(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.withColumn("_h", _text_key()).join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_named")), "left_semi")
 
 
+def _stars(shapes: DataFrame, jaccard: float, distance: int) -> DataFrame:
+    """(a, b): each shape with the smallest one of every bucket it is in, if their sizes
+    allow the similarity and, for buckets of fingerprints, they are within ``distance``.
+
+    Buckets are the deletion variants of the fingerprint's segments and the MinHash bands;
+    a bucket of n shapes gives n - 1 candidates at most, never all pairs.
+    """
+    keys = []
+    for s, (lo, width) in enumerate(segments(distance)):
+        seg = ((1 << width) - 1) << lo
+        keys += [(s * 64 + k, _signed(seg & ~(1 << k))) for k in range(lo, lo + width)]
+    variants = F.array(*(F.struct(F.lit(True).alias("print"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("key")) for i, m in keys))
+    bands = F.transform("bands", lambda k: F.struct(F.lit(False).alias("print"), k.alias("key")))
+    member = shapes.select("shape", "n", "fp", F.explode(F.concat(variants, bands)).alias("k")).select("shape", "n", "fp", "k.*")
+    several = member.groupBy("print", "key").agg(F.min(F.struct("shape", "n", "fp")).alias("rep"), F.max("shape").alias("other")).filter("rep.shape <> other")
+    near = ~F.col("m.print") | (F.bit_count(F.col("fp").bitwiseXOR(F.col("rep.fp"))) <= distance)
+    alike = F.least("n", "rep.n") >= F.greatest("n", "rep.n") * F.lit(jaccard) - 1e-6
+    met = (F.col("m.print") == F.col("r.print")) & (F.col("m.key") == F.col("r.key")) & (F.col("shape") != F.col("rep.shape")) & near & alike
+    return member.alias("m").join(several.alias("r"), met).select(F.col("rep.shape").alias("a"), F.col("shape").alias("b")).distinct()
+
+
+def alike_apart(sets: list[np.ndarray], side: np.ndarray, comp: np.ndarray, jaccard: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of pairs of sets with that Jaccard similarity that are in different
+    components and, where both sides occur, on different sides."""
+    sizes = np.array([len(x) for x in sets])
+    grams, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    # only grams of several sets count; they are numbered anew
+    place = np.cumsum(many > 1) - 1
+    row, column = row[many[column] > 1], place[column[many[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (lo, lo + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[a:b], column[a:b] - lo] = 1
+        both += held @ held.T
+    near = both >= jaccard * (sizes[:, None] + sizes[None, :] - both) - 1e-6
+    near &= comp[:, None] != comp[None, :]
+    if side.any() and not side.all():
+        near &= side[:, None] != side[None, :]
+    i, j = np.nonzero(np.triu(near, 1))
+    return i, j
+
+
+def _rest(shapes: DataFrame, sets: DataFrame, comp: DataFrame, jaccard: float) -> DataFrame:
+    """(a, b): a spanning forest of the links between members of a MinHash bucket that are in
+    different components. Buckets are cut into blocks of about ``BLOCK_GRAMS`` shingles; a
+    task compares two blocks and returns what ties components together, never all pairs."""
+    member = shapes.select("shape", "n", F.explode("bands").alias("key")).join(comp, F.col("shape") == F.col("node"), "left").select("key", "shape", "n", F.coalesce("component", "shape").alias("c"))
+    apart = member.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.sum("n").alias("all")).filter("low <> high").select("key", F.ceil(F.col("all") / BLOCK_GRAMS).cast("int").alias("blocks"))
+    rows = member.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("p"), F.greatest("block", o).alias("q")))
+    units = rows.select("key", "shape", "c", "block", F.explode(others).alias("u")).select("key", "u.*", "shape", "c", (F.col("block") == F.col("u.q")).alias("side"))
+
+    def run(table: pa.Table) -> pa.Table:
+        shape, c = table.column("shape").to_numpy(), table.column("c").to_numpy()
+        some = [np.asarray(x) for x in table.column("grams").to_numpy()]
+        i, j = alike_apart(some, table.column("side").to_numpy().astype(bool), c, jaccard)
+        nodes, root = smallest_labels(shape[i], shape[j]) if len(i) else (shape[:0], shape[:0])
+        return pa.table({"a": root[nodes != root], "b": nodes[nodes != root]})
+
+    return units.join(sets, "shape").groupBy("key", "p", "q").applyInArrow(run, "a long, b long")
+
+
 def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distance: int, shingle_words: int) -> DataFrame:
     """(a, b): links between shapes whose sets of shingles have that Jaccard similarity;
     pairs that others already connect may be left out.
 
-    Candidates share a MinHash band or are within ``distance`` bits; all are compared by
-    their whole sets. First every member of a bucket meets the bucket's smallest shape,
-    then all members that are not in one component by then meet each other.
+    Every shape meets the smallest one of each of its buckets first, then members of a
+    MinHash bucket that are in different components by then meet each other. All are
+    compared by their whole sets.
     """
     shapes = written(sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row")), "shapes")
-    member = shapes.select("shape", "n", F.explode("bands").alias("key"))
-    several = member.groupBy("key").agg(F.min("shape").alias("rep"), F.min_by("n", "shape").alias("rep_n"), F.max("shape").alias("other")).filter("rep <> other").drop("other")
-    crowd = written(member.join(several, "key"), "buckets")
-    star = crowd.filter("shape <> rep").select(F.col("rep").alias("a"), F.col("rep_n").alias("n_a"), F.col("shape").alias("b"), F.col("n").alias("n_b"))
-    first = written(shapes.groupBy("fp").agg(F.min(F.struct("shape", "n")).alias("rep")), "of_prints")
-    same = shapes.join(first, "fp").filter("shape <> rep.shape").select(F.col("rep.shape").alias("a"), F.col("rep.n").alias("n_a"), F.col("shape").alias("b"), F.col("n").alias("n_b"))
-    links = link_fingerprints(shapes.select("fp"), distance)
-    ends = [first.select(F.col("fp").alias(x), F.col("rep.shape").alias(f"s_{x}"), F.col("rep.n").alias(f"n_{x}")) for x in "ab"]
-    close = links.join(ends[0], "a").join(ends[1], "b").select(F.col("s_a").alias("a"), "n_a", F.col("s_b").alias("b"), "n_b")
-
-    alike = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(jaccard) - 1e-6
-    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    pairs = written(star.union(same).union(close).filter(alike).select(*ordered).distinct(), "pairs")
+    pairs = written(_stars(shapes, jaccard, distance), "pairs")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches):
@@ -220,24 +277,15 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
             sets = [np.unique(shingle_hashes(t, shingle_words)).view(np.int64) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(shape.view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["shape", "grams"])
 
-    wanted = crowd.select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    several = shapes.select("shape", F.explode("bands").alias("key"))
+    shared = several.groupBy("key").agg(F.min("shape").alias("low"), F.max("shape").alias("high")).filter("low <> high").select("key")
+    wanted = several.join(shared, "key", "left_semi").select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = _is_row(docs.select("doc_id", "text"), shapes.join(wanted, "shape", "left_semi").select("row.*"))
     sets = written(texts.select("text").mapInArrow(grams, "shape long, grams array<long>").dropDuplicates(["shape"]), "grams")
-
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        both = pairs.join(sets.select(F.col("shape").alias("b"), F.col("grams").alias("g_b")), "b").join(sets.select(F.col("shape").alias("a"), F.col("grams").alias("g_a")), "a")
-        shared = both.select("a", "b", F.size(F.array_intersect("g_a", "g_b")).alias("both"), (F.size("g_a") + F.size("g_b")).alias("sum"))
-        return written(shared.filter(F.col("both") / (F.col("sum") - F.col("both")) >= jaccard).select("a", "b"), name)
-
-    near = compared(pairs, "similar")
-    comp = connected_components(near)
-    crowd = crowd.join(comp, crowd.shape == comp.node, "left").select("key", "shape", "n", F.coalesce("component", "shape").alias("c"))
-    apart = crowd.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-    rest = written(crowd.join(apart, "key", "left_semi"), "apart")
-    a = rest.select("key", F.col("shape").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    b = rest.select("key", F.col("shape").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    others = a.join(b, "key").filter((F.col("c_a") < F.col("c_b")) & alike).select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti")
-    return near.union(compared(others, "similar"))
+    both = pairs.join(sets.select(F.col("shape").alias("b"), F.col("grams").alias("g_b")), "b").join(sets.select(F.col("shape").alias("a"), F.col("grams").alias("g_a")), "a")
+    shared = both.select("a", "b", F.size(F.array_intersect("g_a", "g_b")).alias("both"), (F.size("g_a") + F.size("g_b")).alias("sum"))
+    near = written(shared.filter(F.col("both") / (F.col("sum") - F.col("both")) >= jaccard).select("a", "b"), "similar")
+    return near.union(written(_rest(shapes, sets, connected_components(near), jaccard), "similar"))
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle_words: int = SHINGLE_WORDS, jaccard: float | None = None) -> DataFrame:
