@@ -97,3 +97,27 @@ def test_shards_of_mixed_documents_hold_their_quotas(spark):
     assert got == want and max(blocks.values()) - min(blocks.values()) <= 1
     have = {(r[0], w) for r in rows for w in r[1].split()}
     assert set(words) <= have and max(words.values()) <= 4
+
+
+def test_the_tree_decides_what_is_taken(spark, monkeypatch):
+    """Every document gives its whole epochs and at most one more; a quota that the tree
+    doesn't deal out isn't taken."""
+    df = spark.createDataFrame(rows_(), "doc_id long, text string, source string, words int")
+    total = lambda rows: sum(x.words for r in rows for x in r.draws)
+    drawn = mixing.draw(df, shards=8, block_words=50, buckets=16).collect()
+    taken, whole = defaultdict(int), {}
+    for r in drawn:
+        taken[(r.source, r.k1, r.copy)] += sum(x.words for x in r.draws)
+        whole[(r.source, r.k1, r.copy)] = (r.size, round(r.target) // max(r.source_size, 1))
+    assert all(full * n <= taken[k] <= (full + 1) * n for k, (n, full) in whole.items())
+    tree = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, n, seed: tree([x // 2 for x in q], n, seed))
+    assert total(mixing.draw(df, shards=8, block_words=50, buckets=16).collect()) < 0.7 * total(drawn)
+
+
+def test_many_shards_and_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "a b " * 30_000, "x"), (2, "c", "y"), (3, "d e", None)], "doc_id long, text string, source string")
+    drawn = mixing.draw(df, shards=37, block_words=100).collect()
+    shards = [x.shard for r in drawn for x in r.draws]
+    assert set(shards) <= set(range(37)) and len(set(shards)) > 30
+    assert sum(r.words for r in drawn) == 60_003

@@ -3,15 +3,16 @@
 Documents are cut into blocks of at most ``block_words`` words (shorter documents
 are one block). Each source has a target in words: its weight's share of all
 words, at most ``most_repeats`` times its size, the excess reshared by weight. A
-source's blocks are permuted by a keyed hash; it gives whole epochs of them and
-the first part of one more, whose last block is cut at the word, so the words
-taken equal the rounded target. The exact block quotas are then split among output
-shards by a binary tree of multivariate-hypergeometric draws, each shard takes its
-own range of permuted draws from every source, and orders them by another hash.
+source's blocks are permuted by a keyed hash; its quota is whole epochs of them and
+the first part of one more. The exact block quotas are split among output shards by a
+binary tree of multivariate-hypergeometric draws. Each shard takes its own range of
+permuted draws from every source and orders them by another hash; what no shard's
+range holds isn't taken. The last block of a quota is cut at the word, so the words
+taken equal the rounded target. Shards grow in number with the input, not in size.
 
 Only one row for each source comes to the driver (the catalogue), and one number
 for each source and shard goes back. Ranks come from counts of hash buckets, so a
-source that holds most rows is spread over ``buckets`` windows.
+source that holds most rows is spread over many windows.
 
 Defined cases: null text has size 0 and nothing of it is taken; the null source is
 a source, last in order; repeated rows count each; null doc_id is kept; an empty
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.scratch import written
+from textloom.sizes import pieces
 
 BLOCK_WORDS = 512
-SHARDS = 64
-BUCKETS = 4096
+#: Fewest shards and rank buckets, and the bytes of input for which there is one more.
+SHARDS, SHARD_BYTES = 64, 128 << 20
+BUCKETS, BUCKET_BYTES = 4096, 16 << 20
 MOST_REPEATS = 3
 BROADCAST_NUMBERS = 1 << 20
 WEIGHTS = (1, 2, 3)
@@ -119,18 +122,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return written(same, "mixing").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")
 
 
+def shard_count(docs: DataFrame) -> int:
+    return pieces(docs, SHARD_BYTES, SHARDS)
+
+
 def _small(table: DataFrame, numbers: int) -> DataFrame:
     """A table of the catalogue's sources: broadcast up to BROADCAST_NUMBERS numbers, so that a
     hot source stays spread over tasks; beyond that joined as Spark chooses."""
     return F.broadcast(table) if numbers <= BROADCAST_NUMBERS else table
 
 
-def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, shards: int = SHARDS, seed: int = 7, block_words: int = BLOCK_WORDS, buckets: int = BUCKETS) -> DataFrame:
+def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, shards: int | None = None, seed: int = 7, block_words: int = BLOCK_WORDS, buckets: int | None = None) -> DataFrame:
     """A row for each block of each document: doc_id, source, k1, k2, copy, size,
     source_size, target, block, words, and ``draws``, an array of (epoch, words taken,
     shard, place): where and when the mix takes it."""
     spark = docs.sparkSession
     B = block_words
+    shards = shards or shard_count(docs)
+    buckets = buckets or pieces(docs, BUCKET_BYTES, BUCKETS)
     keyed = _keyed(docs)
     blocks = (
         keyed.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("size") / B)).cast("int") - 1)))
@@ -154,7 +163,7 @@ def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: in
         .select("b.*", (F.col("n0") + F.row_number().over(in_bucket) - 1).alias("rank"), (F.col("w0") + F.sum("words").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")).alias("ahead"))
         .alias("r")
         .join(plan_df.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
-        .select("r.*", "n", "source_size", "target", "full", F.greatest(F.lit(0), F.least(F.col("words"), F.col("rest") - F.col("ahead"))).alias("part"))
+        .select("r.*", "n", "source_size", "target", "full", F.least(F.col("words"), F.col("rest") - F.col("ahead")).alias("part"))
     )
     # Blocks of the last, partial epoch: those that begin before its words are full.
     last = {r.source: r.q for r in _partial(starts, blocks, plan_df).collect()}
@@ -162,12 +171,15 @@ def draw(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_repeats: in
     ends = [np.cumsum(row).tolist() for row in split_quotas(quotas, shards, seed)]
     ends_df = _small(spark.createDataFrame([(p[0], e) for p, e in zip(plan, ends)], "source string, ends array<long>"), len(plan) * shards)
 
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(shards.bit_length()))))
+    at = lambda epoch: epoch * F.col("n") + F.col("rank")
+
     def place(epoch: Column) -> Column:
-        at = epoch * F.col("n") + F.col("rank")
-        shard = F.size(F.filter("ends", lambda e: e <= at))
+        # how many shards' ranges end at or before this draw, by halving
+        shard = F.aggregate(steps, F.lit(0), lambda lo, k: F.when((lo + k <= shards) & (F.get("ends", lo + k - 1) <= at(epoch)), lo + k).otherwise(lo))
         return F.struct(epoch.cast("int").alias("epoch"), F.when(epoch < F.col("full"), F.col("words")).otherwise(F.col("part")).alias("words"), shard.alias("shard"), F.xxhash64(F.lit(seed + 1), shard, F.col("prio"), epoch).alias("place"))
 
-    epochs = F.filter(F.sequence(F.lit(0).cast("long"), F.col("full")), lambda e: (F.col("words") > 0) & ((e < F.col("full")) | (F.col("part") > 0)))
+    epochs = F.filter(F.sequence(F.lit(0).cast("long"), F.col("full")), lambda e: (F.col("words") > 0) & (at(e) < F.get("ends", F.lit(shards - 1))))
     return ranked.alias("x").join(ends_df.alias("e"), F.col("x.source").eqNullSafe(F.col("e.source"))).select("x.doc_id", "x.source", "k1", "k2", "copy", "size", "source_size", "target", "block", "words", F.transform(epochs, place).alias("draws"))
 
 
@@ -186,8 +198,8 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     its text (whole when all its blocks are taken there, else those blocks, each as it
     stands, joined by a line break). Partition i is shard i, shuffled, so that files
     written from it are the shards and hold the drawn quotas."""
-    B, shards = options.get("block_words", BLOCK_WORDS), options.get("shards", SHARDS)
-    drawn = draw(docs, **options)
+    B, shards = options.get("block_words", BLOCK_WORDS), options.get("shards") or shard_count(docs)
+    drawn = draw(docs, **(options | {"shards": shards}))
     took = (
         drawn.filter(F.size("draws") > 0).withColumn("d", F.explode("draws"))
         .groupBy("k1", "k2", "copy", "size", "d.epoch", "d.shard")
@@ -212,9 +224,13 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``taken`` sums what the shards' ranges hold of a document; first_shard is null and
+    n_shards 0 if that is nothing."""
     drawn = draw(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
-    return drawn.groupBy("doc_id", "source", "k1", "k2", "copy", "size", "source_size", "target").agg(F.sum(taken).alias("taken")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    shards = F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("draws", lambda d: d["shard"])))))
+    by = drawn.groupBy("doc_id", "source", "k1", "k2", "copy", "size", "source_size", "target").agg(F.sum(taken).alias("taken"), shards.alias("n_shards"), F.min(F.array_min(F.transform("draws", lambda d: d["shard"]))).alias("first_shard"))
+    return by.select("doc_id", "source", "size", "source_size", "target", "taken", "n_shards", "first_shard")
 
 
 QUERIES = {"op10_mixing": op10_mixing}
