@@ -43,7 +43,7 @@ BLOCK = 16_384
 #: a probability of 0.0007, one of 0.85 of 0.00001.
 BANDS, ROWS = 24, 6
 #: Shingles in a block of a bucket, and columns of a block's matrix worked on at once.
-BLOCK_GRAMS, COLUMNS = 1 << 17, 8192
+BLOCK_GRAMS, COLUMNS = 1 << 15, 8192
 _RANDOM = np.random.default_rng(SEED)
 _TIMES, _PLUS = (_RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(odd) for odd in (1, 0))
 
