@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.config import DEFAULT, PipelineConfig
 from textloom.functions import text as T
+from textloom.operators.rows import KEYS, attach, pick, row_keys, running
 
 REASONS = ("kept", "empty", "no_lines_left", "too_short", "repetitive", "non_english", "ocr_garbage")
 
@@ -89,40 +92,59 @@ def budget_cut(docs: DataFrame, budgets: DataFrame | int, cfg: PipelineConfig =
     estimated tokens reach its budget. ``budgets``: source, token_budget, or one number.
 
     A last chunk that isn't full is kept if no full chunk before it reached the budget.
+    The null source is a source; null text has length 0; equal rows count each; rows of one
+    doc_id go by a hash. Only keys and lengths are put in order, in ranges.
     """
-    chunk = docs.withColumn("_chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1) / cfg.chunk_docs).cast("long"))
-    sums = chunk.groupBy("source", "_chunk").agg(F.sum(F.length("text")).alias("_chars"))
-    before = Window.partitionBy("source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_before", T.est_tokens(F.coalesce(F.sum("_chars").over(before), F.lit(0)), cfg.chars_per_token))
+    keys = docs.select("source", "doc_id", *row_keys(docs), F.coalesce(F.length("text"), F.lit(0)).alias("_chars"))
+    rows = running(keys, ["source"], ["doc_id", *KEYS], "_chars").withColumn("_chunk", F.floor(F.col("_n") / cfg.chunk_docs))
+    before = F.min("_sum").over(Window.partitionBy("source", "_chunk"))
+    rows = rows.withColumn("_before", T.est_tokens(before, cfg.chars_per_token))
     if isinstance(budgets, int):
-        open_ = sums.filter(F.col("_before") < budgets)
+        rows = rows.filter(F.col("_before") < budgets)
     else:
-        open_ = sums.join(budgets, "source").filter(F.col("_before") < F.col("token_budget"))
-    return chunk.join(open_.select("source", "_chunk"), ["source", "_chunk"], "left_semi").drop("_chunk")
+        most = budgets.select(F.col("source").alias("_s"), "token_budget")
+        rows = rows.join(F.broadcast(most), F.col("source").eqNullSafe(F.col("_s"))).filter(F.col("_before") < F.col("token_budget"))  # a row a source
+    return pick(docs, rows)
+
+
+def roll(sizes: np.ndarray, target: int, total: int = 0) -> tuple[np.ndarray, int]:
+    """Shards of consecutive rows, counted from 0, and the sum left over: a shard ends with
+    the row that brings the running sum to ``target``, and the sum restarts."""
+    ends, shards, first = np.cumsum(sizes), np.zeros(len(sizes), np.int64), 0
+    base, target = -total, max(1, target)
+    while True:
+        last = int(np.searchsorted(ends, base + target))
+        if last >= len(sizes):
+            return shards, int(ends[-1] - base) if len(sizes) else total
+        shards[last + 1 :] += 1
+        base = int(ends[last])
 
 
 def shard_assign(docs: DataFrame, target: int, unit: str = "chars") -> DataFrame:
     """``docs`` with ``shard``: a new one begins after the row that brings the running sum of
     (length + 1) to ``target``, and the sum restarts at 0.
 
-    The rule is sequential in a source, so only (source, doc_id, length) is folded, in
-    order and as a stream; the texts stay where they are until the join.
+    The rule is sequential in a source, so only keys and lengths are folded, in order, as a
+    stream and a shard at a time; the texts stay where they are until the join. The null
+    source is a source; equal rows get a shard each; rows of one doc_id go by a hash.
     """
     size = F.length("text") if unit == "chars" else F.octet_length("text")
-    keys = docs.select("source", "doc_id", size.alias("n"))
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source, first, shard, total = None, True, 0, 0
-        for df in batches:
-            out = []
-            for s, n in zip(df["source"], df["n"]):
-                if first or s != source:
-                    source, first, shard, total = s, False, 0, 0
-                out.append(shard)
-                total += int(n) + 1
-                if total >= target:
-                    shard, total = shard + 1, 0
-            yield df.assign(shard=pd.Series(out, dtype="int32", index=df.index))[["source", "doc_id", "shard"]]
-
-    shards = keys.na.fill({"n": 0}).repartition("source").sortWithinPartitions("source", "doc_id").mapInPandas(fold, "source string, doc_id long, shard int")
-    return docs.join(shards, ["source", "doc_id"])
+    keys = docs.select("source", "doc_id", *row_keys(docs), (F.coalesce(size, F.lit(0)) + 1).cast("long").alias("n"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, shard, total = b"", 0, 0  # no name is bytes
+        for batch in batches:
+            same, sizes = pc.run_end_encode(batch.column(0)), batch.column(3).to_numpy()
+            out, start = np.zeros(len(sizes), np.int64), 0
+            for name, stop in zip(same.values.to_pylist(), same.run_ends.to_pylist()):
+                if name != source:
+                    source, shard, total = name, 0, 0
+                own, total = roll(sizes[start:stop], target, total)
+                out[start:stop] = own + shard
+                # a sum that was just brought to the target opens the next shard
+                shard = int(out[stop - 1]) + (total == 0)
+                start = stop
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(out.astype(np.int32))], names=[*KEYS, "shard"])
+
+    ordered = keys.repartition("source").sortWithinPartitions("source", "doc_id", *KEYS).select("source", *KEYS, "n")
+    return attach(docs, ordered.mapInArrow(fold, "_k1 long, _k2 long, shard int"), "shard")

@@ -7,6 +7,7 @@ stars, so a bucket of n documents gives n - 1 candidates, never all pairs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from textloom.config import DEFAULT, PipelineConfig
 from textloom.functions import text as T
 from textloom.operators.components import connected_components
+from textloom.operators.rows import KEYS, attach, pick, row_keys
+from textloom.scratch import written
 
 #: Portable hashes are below this prime, so a * h + b stays within a long.
 PRIME = 2147483647
@@ -32,15 +35,23 @@ def exact_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumn("exact_key", T.exact_key(F.coalesce("text", F.lit(""))))
 
 
-def exact_dedup(docs: DataFrame, scope: str = "source") -> DataFrame:
-    """Of rows with one exact key the first by doc_id stays.
+def _first(none_last: str = "doc_id") -> Column:
+    """Orders rows by doc_id, those without one last, then by what they hold."""
+    return F.struct(F.col(none_last).isNull().alias("none"), F.col(none_last).alias("doc_id"), *KEYS)
 
-    The first ids are aggregated (combined before the shuffle, so a key of many copies
-    is no hot spot), and the texts are joined to them.
-    """
-    keyed = exact_keys(docs).withColumn("_scope", scope_key(scope))
-    first = keyed.groupBy("_scope", "exact_key").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(first, "doc_id", "left_semi")
+
+def firsts(docs: DataFrame, scope: str = "source") -> DataFrame:
+    """_k1, _k2, _scope, exact_key of the first row of each exact key, by doc_id; rows of one
+    doc_id (or none) go by a hash. Combined before the shuffle, so that a key of many copies
+    is a few partial rows."""
+    rows = exact_keys(docs).select("doc_id", *row_keys(docs), scope_key(scope).alias("_scope"), "exact_key")
+    return rows.groupBy("_scope", "exact_key").agg(F.min(_first()).alias("f")).select("f._k1", "f._k2", "_scope", "exact_key")
+
+
+def exact_dedup(docs: DataFrame, scope: str = "source") -> DataFrame:
+    """Of rows with one exact key the first by doc_id stays; of equal rows one. Null text is
+    empty text; the null source is a source."""
+    return pick(docs, firsts(docs, scope))
 
 
 def exact_dup_counts(docs: DataFrame, scope: str = "source") -> DataFrame:
@@ -80,13 +91,46 @@ def permutations(n_perm: int, seed: int = 1337) -> list[tuple[int, int]]:
     return out
 
 
-def minhash(docs: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """doc_id, sig: portable signatures, minima of (a h + b) mod PRIME over 31-bit hashes of
-    the shingles. Documents without a shingle have none."""
-    h = F.conv(F.substring(F.md5(F.col("shingle").cast("binary")), 1, 8), 16, 10).cast("long") % 2147483648
-    hashed = shingles(docs, cfg.shingle_words).select("doc_id", h.alias("h"))
-    mins = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(permutations(cfg.n_perm, cfg.seed))]
-    return hashed.groupBy("doc_id").agg(*mins).select("doc_id", F.array(*(f"m{i}" for i in range(cfg.n_perm))).alias("sig"))
+def portable_signature(words: list[str], cfg: PipelineConfig = DEFAULT) -> np.ndarray | None:
+    """Minima of (a h + b) mod PRIME over 31-bit hashes of the shingles; None without any."""
+    k = cfg.shingle_words
+    if len(words) < k:
+        return None
+    line, ends = " ".join(words).encode(), np.cumsum([len(w.encode()) + 1 for w in words])
+    starts = [0, *ends[:-k].tolist()]
+    md5 = hashlib.md5
+    first = b"".join(md5(line[a:z]).digest()[:4] for a, z in zip(starts, (ends[k - 1 :] - 1).tolist()))
+    h = np.frombuffer(first, ">u4").astype(np.uint64) & np.uint64(0x7FFFFFFF)
+    a, b = np.array(permutations(cfg.n_perm, cfg.seed), np.uint64).T
+    least = np.full(cfg.n_perm, PRIME, np.uint64)
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    for i in range(0, len(h), 512):
+        x = a[:, None] * h[None, i : i + 512] + b[:, None]
+        # PRIME is 2**31 - 1: folding twice leaves at most PRIME itself, which stands for 0
+        x = (x & p) + (x >> bits)
+        x = (x & p) + (x >> bits)
+        x[x == p] = 0
+        np.minimum(least, x.min(axis=1), out=least)
+    return least
+
+
+def _signatures(docs: DataFrame, of, empty: list[int] | None) -> DataFrame:
+    """doc_id, sig; without shingles ``empty``, or no row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs = [of((t or "").split()) for t in batch.column(1).to_pylist()]
+            sigs = [empty if s is None else s.astype(np.int64) for s in sigs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "sig"])
+
+    signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, sig array<long>")
+    return signed if empty else signed.filter("sig is not null")
+
+
+def minhash(docs: DataFrame, cfg: PipelineConfig = DEFAULT, zeros: bool = False) -> DataFrame:
+    """doc_id, sig: portable signatures, in one pass and without a row for each shingle.
+    Documents without a shingle have none or, with ``zeros``, all zeros."""
+    return _signatures(docs, lambda w: portable_signature(w, cfg), [0] * cfg.n_perm if zeros else None)
 
 
 def compat_signature(words: list[str], cfg: PipelineConfig = DEFAULT) -> np.ndarray | None:
@@ -114,13 +158,7 @@ def compat_signature(words: list[str], cfg: PipelineConfig = DEFAULT) -> np.ndar
 
 def minhash_compat(docs: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """doc_id, sig in wrapping arithmetic; documents of too few words have all zeros."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sigs = [compat_signature((t or "").split(), cfg) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[0] * cfg.n_perm if s is None else s.tolist() for s in sigs], pa.list_(pa.int64()))], names=["doc_id", "sig"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sig array<long>")
+    return _signatures(docs, lambda w: compat_signature(w, cfg), [0] * cfg.n_perm)
 
 
 def lsh_buckets(signed: DataFrame, cfg: PipelineConfig = DEFAULT, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -134,6 +172,7 @@ def lsh_buckets(signed: DataFrame, cfg: PipelineConfig = DEFAULT, keys: tuple[st
 def lsh_pairs(signed: DataFrame, cfg: PipelineConfig = DEFAULT, keys: tuple[str, ...] = ()) -> DataFrame:
     """rep_id, doc_id, agree: candidates that agree with a bucket's first document in at
     least the given share of positions."""
+    signed = written(signed, "signatures")  # read four times below
     r = cfg.rows_per_band
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(cfg.n_bands - 1)), lambda b: F.struct(b.alias("band"), F.array_join(F.slice("sig", b * r + 1, r), ",").alias("key"))))
     rows = signed.select("doc_id", *keys, band.alias("b")).select("doc_id", *keys, "b.band", "b.key")
@@ -162,21 +201,56 @@ def near_duplicates(docs: DataFrame, cfg: PipelineConfig = DEFAULT, scope: str =
     return near_dup_clusters(lsh_pairs(signed, cfg, keys)).filter("doc_id <> root_id")
 
 
+#: Ids of rows whose doc_id is null or another row's are above this.
+OWN_IDS = 1 << 62
+
+
+def _numbered(first: DataFrame, docs: DataFrame) -> DataFrame:
+    """``first`` with the row's doc_id as ``_id``; of rows that share one, all but the first
+    (and those without one) get a number of their own behind all others."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_keys(docs)).distinct()
+    rows = first.join(ids, list(KEYS))
+    own = F.lit(OWN_IDS).bitwiseOR(F.col("_k1").bitwiseAND(F.lit(OWN_IDS - 1)))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*KEYS))
+    return rows.select(*first.columns, F.when(F.col("doc_id").isNotNull() & (nth == 1), F.col("doc_id")).otherwise(own).alias("_id"))
+
+
 def mark_duplicates(docs: DataFrame, benchmark: DataFrame | None = None, cfg: PipelineConfig = DEFAULT, scope: str = "source", mode: str = "portable") -> DataFrame:
     """``docs`` with ``dedup_reason``: kept, exact, near or contaminated, by the first cause
-    in that order; each step sees what the one before it left."""
+    in that order; each step sees what the one before it left.
+
+    Every row gets a reason: rows are told apart by all their columns, so doc_ids may be
+    null or shared. Null text is empty text; of equal rows one is the first. Only keys of
+    survivors are written; texts are read again.
+    """
     from textloom.operators.decontam import contaminated
-    from textloom.scratch import written
 
-    unique = written(exact_dedup(docs, scope), "unique")
-    near = near_duplicates(unique, cfg, scope, mode).select("doc_id", F.lit("near").alias("_near"))
-    rest = unique.join(near, "doc_id", "left_anti")
-    marks = docs.join(unique.select("doc_id", F.lit(True).alias("_unique")), "doc_id", "left").join(near, "doc_id", "left")
-    reason = F.when(F.col("_unique").isNull(), "exact").when(F.col("_near").isNotNull(), "near")
+    first = written(_numbered(firsts(docs, scope), docs), "first")
+    unique = pick(docs, first, "_id").select(F.col("_id").alias("doc_id"), "source", "text")
+    near = written(near_duplicates(unique, cfg, scope, mode).select("doc_id"), "near")
+    reason = F.when(F.col("_near"), "near")
+    marks = first.join(near.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_near")), "_id", "left")
     if benchmark is not None:
-        marks = marks.join(contaminated(rest, benchmark, cfg).select("doc_id", F.lit(True).alias("_hit")), "doc_id", "left")
-        reason = reason.when(F.col("_hit").isNotNull(), "contaminated")
-    return marks.withColumn("dedup_reason", reason.otherwise("kept")).drop("_unique", "_near", "_hit")
+        hit = contaminated(unique.join(near, "doc_id", "left_anti"), benchmark, cfg)
+        marks = marks.join(hit.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_hit")), "_id", "left")
+        reason = reason.when(F.col("_hit"), "contaminated")
+    return attach(docs, marks.select(*KEYS, reason.otherwise("kept").alias("dedup_reason")), "dedup_reason", "exact")
+
+
+def keep_survivors(marked: DataFrame) -> DataFrame:
+    return marked.filter("dedup_reason = 'kept'").drop("dedup_reason")
+
+
+def dedup_corpus(docs: DataFrame, folder: str | None = None, benchmark: DataFrame | None = None, cfg: PipelineConfig = DEFAULT, scope: str = "source", mode: str = "portable") -> DataFrame:
+    """The report of :func:`mark_duplicates`; with ``folder`` survivors are written there as
+    shards by the roll rule, replacing what is there. Without it nothing is."""
+    from textloom.operators.clean import shard_assign
+    from textloom.sources.documents import write_shards
+
+    marked = written(mark_duplicates(docs, benchmark, cfg, scope, mode), "marked")
+    if folder is not None:
+        write_shards(shard_assign(keep_survivors(marked), cfg.shard_target), folder)
+    return report(marked)
 
 
 def report(marked: DataFrame) -> DataFrame:

@@ -79,6 +79,12 @@ def pack_verify(windows: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return windows.agg(F.count(F.lit(1)).alias("windows"), F.count_if(F.size("tokens") != cfg.seq_len).alias("bad_length"), top.alias("max_id"), (top < cfg.vocab_size).alias("ids_ok"), F.round(F.sum(eos) / F.count(F.lit(1)), 6).alias("eos_per_window"))
 
 
+def verify_bytes(bins: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """source, shard, split, ok: whether the stored bytes are those of the counted windows of
+    16-bit ids. ``bins`` as write_bins() stores them."""
+    return bins.select("source", "shard", "split", (F.octet_length("data") == F.col("windows") * cfg.seq_len * 2).alias("ok"))
+
+
 def corpus_tokens(index: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """tokens: the index's total, or the budget where there is none."""
     return index.agg(F.coalesce(F.max(F.nullif("total_tokens", F.lit(0))), F.lit(int(cfg.token_budget_b * 1e9))).alias("tokens"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from array import array
 from collections import Counter, defaultdict
 from heapq import heapify, heappop, heappush
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import regex as re
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.config import DEFAULT, SPECIAL_TOKENS, PipelineConfig
+from textloom.operators.rows import KEYS, pick, row_keys, running
 
 # Fixed value: the published pattern that cuts text before merging.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -30,14 +33,16 @@ def byte_alphabet() -> list[str]:
 
 def sample_by_budget(docs: DataFrame, budgets: DataFrame | int) -> DataFrame:
     """Rows of each source by doc_id while the text before them is under the budget
-    (characters); the row that crosses it is included. ``budgets``: source, budget."""
-    before = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    keys = docs.select("source", "doc_id", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)).alias("_before"))
+    (characters); the row that crosses it is included. ``budgets``: source, budget. The null
+    source is a source; equal rows count each; only keys and lengths are put in order."""
+    keys = docs.select("source", "doc_id", *row_keys(docs), F.coalesce(F.length("text"), F.lit(0)).alias("_chars"))
+    rows = running(keys, ["source"], ["doc_id", *KEYS], "_chars")
     if isinstance(budgets, int):
-        keys = keys.filter(F.col("_before") < budgets)
+        rows = rows.filter(F.col("_sum") < budgets)
     else:
-        keys = keys.join(budgets, "source").filter(F.col("_before") < F.col("budget"))
-    return docs.join(keys.select("doc_id"), "doc_id", "left_semi")
+        most = budgets.select(F.col("source").alias("_s"), "budget")
+        rows = rows.join(F.broadcast(most), F.col("source").eqNullSafe(F.col("_s"))).filter(F.col("_sum") < F.col("budget"))  # a row a source
+    return pick(docs, rows)
 
 
 def pretokens(text: Column) -> Column:
@@ -175,6 +180,63 @@ def decode_docs(df: DataFrame, merges: list[tuple[str, str]], column: str = "tok
     return df.withColumn("decoded", decode(F.col(column)))
 
 
+def tokenizer_json(merges: list[tuple[str, str]]) -> str:
+    """The tokenizer in the published JSON format, which other libraries load."""
+    special = [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} for i, t in enumerate(SPECIAL_TOKENS)]
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    model = {"type": "BPE", "vocab": {t: i for i, t in enumerate(vocabulary(merges))}, "merges": [list(m) for m in merges]}
+    return json.dumps({"version": "1.0", "added_tokens": special, "pre_tokenizer": byte_level, "decoder": byte_level, "model": model}, ensure_ascii=False)
+
+
+def save_tokenizer(spark: SparkSession, merges: list[tuple[str, str]], path: str) -> None:
+    """Writes :func:`tokenizer_json` to ``path``, in any store that Spark can write."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(conf).create(at, True)
+    try:
+        out.write(bytearray(tokenizer_json(merges).encode()))
+    finally:
+        out.close()
+
+
+def load_tokenizer(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """The merges that :func:`save_tokenizer` wrote to ``path``."""
+    model = json.loads(spark.read.text(path, wholetext=True).first().value)["model"]
+    return [(m[0], m[1]) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+
+
+#: Texts that a byte-level tokenizer must bring back unchanged.
+HARD_TEXTS = ("", "Tabs\tand\r\nline  ends   ", "\x00\x01\x1f\x7f", "".join(map(chr, range(256))), "🏛\ufe0f⚖ буквы 法律", "∫∂ℝ≤α “quoted” ﬁ")
+
+
+def validate_tokenizer(merges: list[tuple[str, str]], cfg: PipelineConfig = DEFAULT) -> dict[str, bool]:
+    """vocab_size: as configured; specials: ids 0 to 6 in order; round_trip: hard texts come
+    back unchanged and without an unknown token."""
+    bpe, words = Bpe(merges), re.compile(PRETOKEN)
+    ids = [[i for w in words.findall(t) for i in bpe.word(w)] for t in HARD_TEXTS]
+    same = all(bpe.decode(i).decode() == t for i, t in zip(ids, HARD_TEXTS))
+    return {"vocab_size": len(bpe.tokens) == cfg.vocab_size, "specials": tuple(bpe.tokens[: len(SPECIAL_TOKENS)]) == SPECIAL_TOKENS, "round_trip": same and not any(i < len(SPECIAL_TOKENS) for x in ids for i in x)}
+
+
+def shard_sample(docs: DataFrame, shards: int = 8, each: int = 120) -> DataFrame:
+    """The first ``each`` rows by doc_id of up to ``shards`` shards of a source, evenly spread."""
+    kinds = docs.select("source", "shard").distinct()
+    place = F.dense_rank().over(Window.partitionBy("source").orderBy("shard")) - 1
+    n = F.count(F.lit(1)).over(Window.partitionBy("source"))
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / shards))
+    at = kinds.withColumn("at", place).withColumn("n", n).filter((F.col("at") % step == 0) & (F.col("at") / step < shards)).select(F.col("source").alias("_s"), F.col("shard").alias("_sh"))
+    own = docs.join(F.broadcast(at), F.col("source").eqNullSafe(F.col("_s")) & F.col("shard").eqNullSafe(F.col("_sh"))).drop("_s", "_sh")  # at most ``shards`` rows a source
+    first = F.row_number().over(Window.partitionBy("source", "shard").orderBy("doc_id"))
+    return own.withColumn("_rn", first).filter(F.col("_rn") <= each).drop("_rn")
+
+
+def compression_of_ids(docs: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """:func:`compression_by_source` in token ids, over a sample of each source's shards.
+    Columns needed: source, shard, doc_id, text."""
+    coded = encode_docs(shard_sample(docs), merges)
+    return compression_by_source(coded.select("source", F.length(F.coalesce("text", F.lit(""))).alias("chars"), F.size("tokens").alias("tokens")))
+
+
 def compression_by_source(counted: DataFrame) -> DataFrame:
     """source, chars, tokens, chars_per_token; columns needed: source, chars, tokens."""
     by = counted.groupBy("source").agg(F.sum("chars").alias("chars"), F.sum("tokens").alias("tokens"))

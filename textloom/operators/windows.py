@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +60,20 @@ def epoch_order(n_windows: int, epoch: int, spark, cfg: PipelineConfig = DEFAULT
     return keyed.withColumn("r", rank).join(F.broadcast(starts), "b").select((F.col("first") + F.col("r")).alias("pos"), "idx").filter(F.col("pos") < whole)
 
 
+#: Most windows whose order one generator can draw on the driver.
+COMPAT_WINDOWS = 100_000_000
+
+
+def epoch_order_compat(n_windows: int, epoch: int, spark, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """pos, idx as numpy's default generator permutes them: one stream of draws, so it runs
+    on the driver, for at most COMPAT_WINDOWS windows."""
+    if n_windows > COMPAT_WINDOWS:
+        raise ValueError("too many windows for one generator; use epoch_order")
+    order = np.random.default_rng(cfg.seed + epoch).permutation(n_windows)
+    idx = order[: n_windows // cfg.windows_per_step * cfg.windows_per_step]
+    return spark.createDataFrame(pa.table({"pos": np.arange(len(idx)), "idx": idx}))
+
+
 def rank_batches(order: DataFrame, cfg: PipelineConfig = DEFAULT, start_step: int = 0) -> DataFrame:
     """step, rank, micro, slot, idx: each step's windows dealt to ranks in runs, each rank's
     to micro-batches."""

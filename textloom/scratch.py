@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,16 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset.
-
-    A context that already has a checkpoint directory keeps it.
+    """The folder named by ``spark.checkpoint.dir``. Where that is unset a local session, as
+    in tests, gets one of its own; on a cluster it must be set, for executors can't read the
+    driver's disk. A context that already has a checkpoint directory keeps it.
     """
     sc = spark.sparkContext
     set_dir = sc._jsc.sc().getCheckpointDir()
     if set_dir.isDefined():
         return set_dir.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="textloom-"))
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="textloom-")
+        atexit.register(shutil.rmtree, named, True)
+    sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
 

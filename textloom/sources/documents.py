@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,43 @@ def not_blank(docs: DataFrame) -> DataFrame:
     return docs.filter(F.length(T.strip(F.col("text"))) > 0)
 
 
+def benchmark_scan(spark: SparkSession, specs: list[tuple[str, tuple[str, ...]]], splits: tuple[str, ...] = ("test", "validation"), reader: str = "parquet") -> tuple[DataFrame, list[str]]:
+    """_text of all fields of all benchmarks, and a line for each one that couldn't be read:
+    it is left out. ``specs``: (folder, fields); each folder has one table a split."""
+    found, skipped = spark.createDataFrame([], "_text string"), []
+    for folder, fields in specs:
+        try:
+            rows = [spark.read.format(reader).load(f"{folder}/{split}") for split in splits]
+            texts = [field_texts(r, tuple(f for f in fields if f in r.columns)) for r in rows]
+        except (AnalysisException, Py4JJavaError) as e:
+            skipped.append(f"{folder}: {type(e).__name__}")
+            continue
+        for t in texts:
+            found = found.union(t)
+    return found, skipped
+
+
+def field_texts(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """_text: all fields of all items. A field may be a string, an array of strings or an
+    array of arrays."""
+    kinds = dict(rows.dtypes)
+    out = rows.select(F.lit("").alias("_text")).limit(0)
+    for c in columns:
+        value = F.col(c)
+        if kinds[c] == "array<array<string>>":
+            value = F.array_join(F.flatten(value), " ")
+        elif kinds[c] == "array<string>":
+            value = F.array_join(value, " ")
+        out = out.union(rows.select(value.cast("string").alias("_text")))
+    return out
+
+
+def free_bytes(spark: SparkSession, folder: str) -> int:
+    """What is free in the store that holds ``folder``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getStatus(path).getRemaining()
+
+
 def write_shards(docs: DataFrame, folder: str) -> None:
     """Gzip text with a document a line, in folders source=/shard=, replacing what is there.
     Line breaks inside a text become spaces, so that a line stays a document."""
