@@ -56,3 +56,40 @@ def test_texts_lose_just_those_words_and_keep_the_rest(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert substring.find_repeats(df).count() == 0 and substring.remove_repeats(df).count() == 0
+
+
+def test_long_words_that_polynomials_confuse(spark):
+    """Two documents that differ in one word of 1,024 bytes share no window over it."""
+    odd = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, " ".join([f"w{i}" for i in range(6)] + [odd] + [f"v{i}" for i in range(6)])), (2, " ".join([f"w{i}" for i in range(6)] + [odd.translate(str.maketrans("ab", "ba"))] + [f"v{i}" for i in range(6)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in substring.find_repeats(df).collect()] == [0, 0]
+
+
+def test_hot_passages_in_many_partitions_and_a_very_long_text(spark):
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{rng.randrange(9)} {passage} t{i} " * rng.randrange(1, 4)) for i in rng.sample(range(10_000), 400)]
+    rows += [(20_000, " ".join(f"u{i % 5000}" for i in range(60_000))), (20_001, " ".join(f"u{i}" for i in range(4000, 4100)))]
+    for parts in (1, 17):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        assert sorted((tuple(r) for r in substring.find_repeats(df).collect()), key=str) == brute(rows)
+
+
+def test_word_hashes_tell_words_apart():
+    import numpy as np
+
+    from textloom.llm import _text
+
+    words = [b"a", b"\x00", b"\x00\x00", b"abcdefgh", b"abcdefg", b"abcdefghi", "é".encode(), b"a" * 5000]
+    raw = b" ".join(words)
+    h = _text.word_hashes(raw)
+    assert len(h) == len(words) == len(set(h.tolist()))
+    assert np.array_equal(h, np.concatenate([_text.word_hashes(w) for w in words])) and len(_text.word_hashes(b"")) == 0
+
+
+def test_impossible_windows_are_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        substring.find_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), window=400, gram=5)

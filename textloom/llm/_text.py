@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: An odd 64-bit multiplier, its inverse modulo 2**64, and two odd mixing constants.
 BASE = 0x9E3779B97F4A7C15
@@ -60,12 +61,25 @@ def spans(raw: bytes, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarra
     return a, np.flatnonzero(d == 1), np.flatnonzero(d == -1)
 
 
+#: What is left of eight bytes read where a word of 0 to 8 bytes starts.
+_OWN = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order; equal words have equal hashes."""
-    a, start, end = spans(raw)
-    sums = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _power(BASE, len(a)), out=sums[1:])
-    return mix((sums[end] - sums[start]) * _power(INVERSE, len(a) + 1)[start] + (end - start).astype(np.uint64))
+    """A 64-bit hash of each word, in order; equal words have equal hashes.
+
+    Words of up to 8 bytes are numbers, so those of one length never share a hash; longer
+    ones are hashed by XXH64.
+    """
+    _, start, end = spans(raw)
+    n = end - start
+    eight = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))
+    short = np.minimum(n, 8)
+    h = mix(mix((eight[start] & _OWN[short])) + n.astype(np.uint64))
+    long = np.flatnonzero(n > 8)
+    digest = xxhash.xxh64_intdigest
+    h[long] = np.fromiter((digest(raw[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist())), np.uint64, len(long))
+    return h
 
 
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,13 @@ one is removed.
 
 Occurrences travel as packed arrays, a few dozen bytes an anchor and one anchor for
 about five words. Two windows count as equal if a 64-bit anchor hash, the place of the
-anchor and 32 further bits of a hash of the window agree (96 bits and more).
+anchor and 32 further bits of a hash of the window agree (96 bits and more, of word hashes
+in which words of up to 8 bytes are told apart exactly and longer ones by XXH64).
+
+Each batch of about ``PACK_BYTES`` of text is judged by itself first: an occurrence all of
+whose windows a smaller doc_id of the same batch has is marked there and doesn't travel. So
+the task of a passage that a third of all documents share gets an occurrence for each batch
+and window, not for each document.
 
 Defined cases: null and empty texts have no words and sha256 of the empty string; a
 text shorter than the window loses nothing; a document with null doc_id neither loses
@@ -28,6 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,10 +95,18 @@ def anchors(words: np.ndarray, counts: np.ndarray, window: int, gram: int) -> tu
 
 
 def pack(docs: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
-    """bucket, blob: the occurrences of a batch's anchors that fall in the bucket."""
+    """bucket, blob: the occurrences of a batch's anchors that fall in the bucket; with a
+    null blob k1, k2, spans that the batch itself decides."""
 
     def emit(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         h, d, p, o, m, f, ids = (np.concatenate(c) for c in zip(*held))
+        row, begin, marked = judged(h, ids[:, 0][d], p, o, m, f)
+        done = np.ones(len(h), bool)
+        done[row[~marked]] = False
+        done[np.isin(np.arange(len(h)), row, invert=True)] = False
+        yield _spans(ids, *runs_of_windows(d, row[done[row]], begin[done[row]], window))
+        left = np.repeat(~done, m)
+        h, d, p, o, m, f = h[~done], d[~done], p[~done], o[~done], m[~done], f[left]
         to = (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         ends = np.searchsorted(to[order], np.arange(buckets + 1))
@@ -105,7 +120,8 @@ def pack(docs: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
             head = np.array([len(used), len(r)], np.int64)
             out_b.append(int(b))
             out.append(b"".join(x.tobytes() for x in (head, ids[used], h[r], p[r].astype(np.uint32), local.astype(np.uint32), o[r].astype(np.uint8), n.astype(np.uint8), f[which])))
-        yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int64()), pa.array(out, pa.binary())], names=["bucket", "blob"])
+        none = pa.nulls(len(out), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int64()), pa.array(out, pa.binary()), none, none, pa.nulls(len(out), pa.binary())], names=["bucket", "blob", "k1", "k2", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, base = [], 0, 0
@@ -123,7 +139,7 @@ def pack(docs: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
             yield from emit(held)
 
     rows = docs.filter("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), *_key(), "text")
-    return rows.mapInArrow(run, "bucket long, blob binary")
+    return rows.mapInArrow(run, "bucket long, blob binary, k1 long, k2 long, spans binary")
 
 
 def _key() -> list:
@@ -148,19 +164,19 @@ def unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     return np.concatenate(ids), *(np.concatenate(c) for c in zip(*cols))
 
 
-def extend(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of documents that lose words, and for each marked run of windows the
-    document's place among them and (first word, end) of what it covers."""
-    ids, h, p, d, o, m, f = unpack(blobs)
-    doc = ids[:, 0][d]
+def judged(h: np.ndarray, doc: np.ndarray, p: np.ndarray, o: np.ndarray, m: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the windows of anchors that several documents have: the occurrence that each belongs
+    to, the window's first word, and whether a smaller document has it as well."""
     order = np.argsort(h, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
+    first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1]))) if len(h) else np.zeros(0, np.int64)
+    z = np.zeros(0, np.int64)
+    if not len(first):
+        return z, z, z.astype(bool)
     low, high = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
     shared = np.repeat(low < high, np.diff(np.append(first, len(order))))
     rows = np.sort(order[shared])
-    empty = np.zeros((0, 2), np.int64)
     if not len(rows):
-        return ids[:0], empty[:, 0], empty
+        return z, z, z.astype(bool)
     n = m[rows].astype(np.int64)
     row = np.repeat(rows, n)
     k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -172,38 +188,56 @@ def extend(blobs: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.
     least = np.minimum.reduceat(doc[row][by], np.flatnonzero(new))
     marked = np.zeros(len(row), bool)
     marked[by] = doc[row][by] > least[np.cumsum(new) - 1]
-    row, begin = row[marked], (p[row].astype(np.int64) - place)[marked]
+    return row, p[row].astype(np.int64) - place, marked
+
+
+def runs_of_windows(d: np.ndarray, row: np.ndarray, begin: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Places of the documents that lose words, and for each run of marked windows its document
+    among them and (first word, end) of what it covers."""
     if not len(row):
-        return ids[:0], empty[:, 0], empty
+        return row, row, np.zeros((0, 2), np.int64)
     # windows of one anchor that start one after another are one run
     head = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (begin[1:] != begin[:-1] + 1))))
     last = np.append(head[1:], len(row)) - 1
     used, local = np.unique(d[row[head]], return_inverse=True)
-    return ids[used], local, np.stack((begin[head], begin[last] + window), axis=1)
+    return used, local, np.stack((begin[head], begin[last] + window), axis=1)
+
+
+def _spans(ids: np.ndarray, used: np.ndarray, local: np.ndarray, spans: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(local, kind="stable")
+    ends = np.searchsorted(local[order], np.arange(len(used) + 1))
+    flat = spans[order].astype(np.int32)
+    own = ids[used]
+    # any task can pass them on
+    columns = [pa.array(own[:, 1]), pa.nulls(len(own), pa.binary()), pa.array(own[:, 1]), pa.array(own[:, 2]), pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "blob", "k1", "k2", "spans"])
+
+
+def extend(blobs: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """Ids of the documents in a bucket, and what runs_of_windows() finds in it."""
+    ids, h, p, d, o, m, f = unpack(blobs)
+    row, begin, marked = judged(h, ids[:, 0][d], p, o, m, f)
+    return ids, *runs_of_windows(d, row[marked], begin[marked], window)
 
 
 def marks(packed: DataFrame, partitions: int, window: int) -> DataFrame:
     """k1, k2, spans (binary pairs of int32): what each document loses, a row for each
-    bucket that found something."""
-
-    def done(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        ids, local, spans = extend(blobs, window)
-        order = np.argsort(local, kind="stable")
-        ends = np.searchsorted(local[order], np.arange(len(ids) + 1))
-        flat = spans[order].astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[:, 1]), pa.array(ids[:, 2]), pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], names=["k1", "k2", "spans"])
+    bucket or batch that found something."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for batch in batches:
-            for b, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ready = batch.filter(pc.is_null(batch.column(1)))
+            yield ready.select(["k1", "k2", "spans"])
+            rest = batch.filter(pc.is_valid(batch.column(1)))
+            for b, blob in zip(rest.column(0).to_pylist(), rest.column(1).to_pylist()):
                 if b != bucket and held:
-                    yield from done(held)
+                    yield _spans(*extend(held, window)).select(["k1", "k2", "spans"])
                     held = []
                 bucket = b
                 held.append(blob)
         if held:
-            yield from done(held)
+            yield _spans(*extend(held, window)).select(["k1", "k2", "spans"])
 
     return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "k1 long, k2 long, spans binary")
 
@@ -219,6 +253,8 @@ def lost_words(n: int, spans: list[bytes] | None) -> np.ndarray:
 
 
 def _with_spans(docs: DataFrame, window: int, gram: int):
+    if not 0 < gram <= window <= gram + 255:
+        raise ValueError("a window has 1 to 255 words more than a gram")
     partitions = pieces(docs, 4 * BUCKET_BYTES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = marks(pack(docs, 4 * partitions, window, gram), partitions, window)
     spans = found.groupBy("k1", "k2").agg(F.collect_list("spans").alias("spans"))
