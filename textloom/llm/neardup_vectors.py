@@ -1,16 +1,18 @@
 """Embedding near-dedup: spherical k-means cells and blocked cosine products.
 
-Only distinct vectors of a label take part; copies count by their number. Centroids come
-from a bounded sample. Each vector has a home cell, that of its nearest centroid, and
-visits every cell in which a vector within the threshold could be at home: for x at
-home with c and y at home with d, x.c - x.d <= |x - y| |c - d|, so x visits d unless
-that is broken at the greatest |x - y| allowed. So no link is lost. Cells are cut into
+Only distinct vectors of a label take part; copies count by their number. Every label has
+centroids of its own, from a bounded sample of all vectors. Each vector has a home cell,
+that of its nearest centroid, and visits every cell in which a vector within the threshold
+could be at home: y at home with d is on d's side of the plane between d and c, and x.y can
+only reach the threshold t if x is at most sqrt(1 - t * t) behind that plane. So no link is
+lost. How many cells a label has is what makes least work for its sample: with more cells
+fewer vectors meet, but a vector visits more. Cells are cut into
 blocks of ``BLOCK`` vectors by a hash; each pair of blocks is one matrix product in
 double precision, of which only link counts and a spanning forest leave the task, never
 all pairs. The smallest vec_id of each component is kept.
 
-Vectors far from any structure visit many cells, and the work is then that of comparing
-all vectors of a label in blocks.
+Vectors far from any structure visit nearly all cells, few of which are then made, and the
+work is that of comparing all vectors of a label in blocks.
 
 Defined cases: null, empty, zero and non-finite vectors and null labels link with
 nothing; vectors of different length link with nothing of another length; repeated rows
@@ -32,8 +34,10 @@ from textloom.operators.components import connected_components, smallest_labels
 from textloom.scratch import written
 
 THRESHOLD = 0.93
-#: Vectors for each cell on average, most cells, and most vectors that centroids are fitted on.
-CELL, MOST_CELLS, SAMPLE = 16_384, 1024, 20_000
+#: Most vectors that centroids are fitted on; of these a label needs so many for each cell.
+SAMPLE, FEWEST = 20_000, 64
+#: What it costs to send a vector to one more cell, in vectors that it is compared with.
+VISIT = 64
 BLOCK = 2048
 ROUNDS = 8
 
@@ -56,10 +60,25 @@ def cells_of(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray
     dots = x @ c.T
     home = dots.argmax(axis=1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))[home]
-    most = np.sqrt(max(0.0, 2 - 2 * threshold))
+    most = np.sqrt(max(0.0, 1 - threshold * threshold)) if threshold > 0 else np.inf
     return home, dots.max(axis=1, keepdims=True) - dots <= most * apart + 1e-9
 
 
+def centroids(x: np.ndarray, vectors: float, threshold: float) -> np.ndarray:
+    """Centroids of one label from its sample; ``vectors``: how many the label has. Their
+    number is doubled as long as that lowers the work for a vector."""
+    best, least, k = x[:1], vectors + VISIT, 2
+    while k * FEWEST <= len(x):
+        c = spherical_kmeans(x, k)
+        visits = cells_of(x, c, threshold)[1]
+        work = (visits.sum(axis=1).mean() / k) * vectors + VISIT * visits.sum(axis=1).mean()
+        # two cells are made in any case: whether more are of use shows from there on
+        if k > 2 and work >= least:
+            break
+        best, least, k = c, work, 2 * k
+    return best
+
+
 def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vectors``: node (long), label, embedding, m (copies), one row for each node.
     Gives (a, b, n): with null b, n links of a (copies counted, its own not); else b is
@@ -67,22 +86,26 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = vectors.sparkSession
     width = _vectors.usual_size(vectors)
     count = vectors.count()
-    k = max(1, min(MOST_CELLS, -(-count // CELL)))
-    few = vectors.filter(F.size("embedding") == width).orderBy(F.xxhash64("node")).limit(SAMPLE).select("embedding").toArrow().column(0)
-    c = spherical_kmeans(_vectors.unit(np.array(few.to_pylist(), np.float64)), k) if len(few) else np.zeros((0, width))
-    shared = spark.sparkContext.broadcast(c)  # at most MOST_CELLS vectors
+    few = vectors.filter(F.size("embedding") == width).orderBy(F.xxhash64("node")).limit(SAMPLE).select("label", "embedding").toArrow()
+    of_label: dict = {}
+    for label, e in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+        of_label.setdefault(label, []).append(e)
+    c = {label: centroids(_vectors.unit(np.array(e, np.float64)), count * len(e) / few.num_rows, threshold) for label, e in sorted(of_label.items(), key=str) if len(e) >= 2 * FEWEST}
+    shared = spark.sparkContext.broadcast(c)  # at most SAMPLE / FEWEST vectors
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
         for b in batches:
-            lists = b.column(1).to_pylist()
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            cell, row, home = [np.full((sizes != width).sum(), -1)], [np.flatnonzero(sizes != width)], [np.ones((sizes != width).sum(), bool)]
-            own = np.flatnonzero(sizes == width)
-            if len(own):
-                h, visits = cells_of(_vectors.unit(np.array([lists[i] for i in own])), c, threshold)
+            lists, labels = b.column(1).to_pylist(), b.column(2).to_pylist()
+            groups: dict = {}
+            for i, (e, label) in enumerate(zip(lists, labels)):
+                groups.setdefault(label if len(e) == width and label in c else None, []).append(i)
+            alone = groups.pop(None, [])
+            row, cell, home = [np.array(alone, np.int64)], [np.zeros(len(alone), np.int64)], [np.ones(len(alone), bool)]
+            for label, own in groups.items():
+                h, visits = cells_of(_vectors.unit(np.array([lists[i] for i in own])), c[label], threshold)
                 r, to = np.nonzero(visits)
-                cell, row, home = [*cell, to], [*row, own[r]], [*home, h[r] == to]
+                row, cell, home = [*row, np.array(own)[r]], [*cell, to], [*home, h[r] == to]
             row = np.concatenate(row)
             out = [pa.array(row), pa.array(np.concatenate(cell)), pa.array(np.concatenate(home))]
             take = b.take(out[0])
