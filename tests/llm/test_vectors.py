@@ -16,9 +16,9 @@ def vectors(n=600, labels=3, seed=1):
     return [(i, v.tolist(), int(y)) for i, (v, y) in enumerate(zip(x, rng.integers(0, labels, len(x))))]
 
 
-@pytest.mark.parametrize("cell,block", [(100_000, 2048), (40, 16)])
-def test_links_and_components_are_those_of_all_pairs(spark, monkeypatch, cell, block):
-    monkeypatch.setattr(neardup_vectors, "CELL", cell)
+@pytest.mark.parametrize("fewest,block", [(100_000, 2048), (8, 16)])
+def test_links_and_components_are_those_of_all_pairs(spark, monkeypatch, fewest, block):
+    monkeypatch.setattr(neardup_vectors, "FEWEST", fewest)
     monkeypatch.setattr(neardup_vectors, "BLOCK", block)
     rows = vectors()
     rows += [(700 + i, rows[5][1], rows[5][2]) for i in range(5)] + [(720, rows[5][1], None), (721, (2 * np.array(rows[5][1])).tolist(), rows[5][2])]
@@ -71,3 +71,24 @@ def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(50, [1.0, 0.0], 1), (1, [1.0, 1.0], 1)], "vec_id long, embedding array<float>, label int")
     assert [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, F.col("vec_id") == 50).collect()] == [(50, 1, 1)]
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0 and neardup_vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_cells_are_a_labels_own_and_divide_its_work():
+    rng = np.random.default_rng(2)
+    group = lambda n: neardup_vectors._vectors.unit(np.repeat(rng.normal(size=(8, 32)), n, 0) + rng.normal(0, 0.02, (8 * n, 32)))
+    x = group(60)
+    c = neardup_vectors.centroids(x, 480, 0.93)
+    home, visits = neardup_vectors.cells_of(x, c, 0.93)
+    assert len(c) > 1 and visits.sum(axis=1).mean() < 0.7 * len(c) and visits[np.arange(len(x)), home].all()
+    # every link is within a cell that both visit, one of them at home
+    near = np.argwhere(x @ x.T >= 0.93)
+    assert visits[near[:, 0], home[near[:, 1]]].all()
+    assert len(neardup_vectors.centroids(x[:100], 100, 0.93)) == 1
+
+
+def test_vectors_of_several_lengths_and_shared_ids(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.0, 0.0]), (3, [0.9, 0.1, 0.0]), (4, [0.0, 1.0, 0.0]), (10, [5.0, 0.0, 0.1]), (10, [0.0, 1.0, 0.1]), (10, [0.0, 1.0, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, F.col("vec_id") % 10 == 0, 3).collect())
+    # 10 has two different vectors: each asks, and finds the other among the rest
+    assert got == [(0, 1, 1), (10, 1, 2), (10, 1, 4), (10, 2, 3), (10, 2, 3), (10, 3, 10), (10, 3, 10)]

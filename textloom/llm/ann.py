@@ -1,19 +1,22 @@
 """Approximate nearest neighbours over a robust-pruned directed graph.
 
-Distinct vectors are dealt to shards of about ``SHARD`` by a hash. In each shard a graph
+Distinct vectors of one length are dealt to shards by a hash: of ``SHARD`` vectors while
+these are fewer than ``SPREAD`` shards, and of up to ``MOST`` beyond. In each shard a graph
 is built from random out-edges: points go in by batches, a greedy beam search proposes
 neighbours, and pruning with a relaxed distance (``ALPHA``) keeps near and diverse ones;
 edges are added backwards and overfull nodes pruned again. The index is a table with one
-row for a shard. Queries, in blocks, run a beam search in every shard; the best of all
-shards are ranked by cosine in double precision on the original vectors.
+row for a shard. Blocks of queries go to every shard of vectors of their length, which stays
+in its task for ``SLICE`` blocks, and run a beam search there; the best of all shards are
+ranked by cosine in double precision on the original vectors.
 
 Every vector is indexed. With random 64-dimensional vectors (the hardest case, no
 structure) measured recall of the five nearest is in the README.
 
 Defined cases: null, empty, zero and non-finite vectors take no part, nor do null
-vec_id, nor vectors whose length isn't the commonest one; of rows with one vec_id the
-smallest vector counts; equal vectors are one node with all their vec_ids in order, of
-which a query needs k + 1 at most; other columns are ignored.
+vec_id; vectors of different length aren't near each other; rows equal in vec_id and vector
+are one row; rows that share a vec_id with different vectors are candidates and queries each,
+also of one another; equal vectors are one node with all their vec_ids in order, of which a
+query needs k + 1 at most; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +31,15 @@ from pyspark.sql import functions as F
 from textloom.llm import _vectors
 from textloom.scratch import written
 
-SHARD = 4096
+SHARD, SPREAD, MOST = 4096, 16, 65_536
 DEGREE = 32
 ALPHA = 1.2
 BUILD_BEAM = 64
 BEAM = 192
 #: Nodes opened at once in a step of a beam search, points inserted at once, queries in a block.
 OPEN, BATCH, QUERIES_AT_ONCE = 4, 256, 256
+#: Blocks of queries for which a shard is sent to a task once.
+SLICE = 64
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, start: int, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,76 +131,93 @@ def build(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam: int =
 
 
 def build_index(vectors: DataFrame, k: int, degree: int = DEGREE, alpha: float = ALPHA, beam: int = BUILD_BEAM) -> DataFrame:
-    """shard, width, start, ids (k + 1 longs a node), raw (original components), graph: one row for a shard. ``vectors``: embedding, ids (array of long)."""
-    width = _vectors.usual_size(vectors)
-    count = vectors.count()
-    shards = max(1, round(count / SHARD))
-    kind = "shard int, width int, start int, ids binary, raw binary, graph binary"
+    """width, shard, start, ids (k + 1 longs a node), raw (original components), graph: one row
+    for a shard. ``vectors``: embedding, ids (array of long)."""
+    kind = "width int, shard int, start int, ids binary, raw binary, graph binary"
 
     def run(keys: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        raw = np.array(table.column("embedding").to_pylist(), np.float64)
+        width = keys[0].as_py()
+        raw = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("embedding").chunks]).astype(np.float64).reshape(-1, width)
         ids = np.full((len(raw), k + 1), -1, np.int64)
         for i, row in enumerate(table.column("ids").to_pylist()):
             ids[i, : len(row)] = row
-        order = np.argsort(ids[:, 0], kind="stable")
+        order = np.lexsort((*raw.T[:1], ids[:, 0]))
         raw, ids = raw[order], ids[order]
         graph, start = build(_vectors.unit(raw).astype(np.float32), degree, alpha, beam)
-        return pa.table({"shard": pa.array([keys[0].as_py()], pa.int32()), "width": pa.array([width], pa.int32()), "start": pa.array([start], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "raw": pa.array([raw.tobytes()], pa.binary()), "graph": pa.array([graph.tobytes()], pa.binary())})
+        cell = lambda x, t: pa.array([x], t)
+        return pa.table({"width": cell(width, pa.int32()), "shard": cell(keys[1].as_py(), pa.int32()), "start": cell(start, pa.int32()), "ids": cell(ids.tobytes(), pa.binary()), "raw": cell(raw.tobytes(), pa.binary()), "graph": cell(graph.tobytes(), pa.binary())})
 
-    own = vectors.filter(F.size("embedding") == width).withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
-    return own.groupBy("shard").applyInArrow(run, kind)
+    own = vectors.withColumn("width", F.size("embedding"))
+    n = F.count(F.lit(1))
+    shards = F.greatest(F.lit(1), F.least(F.lit(SPREAD), F.round(n / SHARD)), F.ceil(n / MOST))
+    counts = own.groupBy("width").agg(shards.cast("int").alias("shards"))
+    dealt = own.join(counts, "width").withColumn("shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int"))
+    return dealt.select("embedding", "ids", "width", "shard").groupBy("width", "shard").applyInArrow(run, kind)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
-    """query_id, vec_id, score: the k best found by each shard for each query
-    (query_id, embedding), the query's own vec_id left out."""
-    blocks = max(1, -(-queries.count() // QUERIES_AT_ONCE))
-    packed = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).groupBy("block").agg(F.collect_list(F.struct("query_id", "embedding")).alias("rows"))
-    shards = [r.shard for r in index.select("shard").collect()]
-    # each block of the stated query set goes to each shard
-    units = packed.withColumn("shard", F.explode(F.array(*map(F.lit, shards)) if shards else F.array().cast("array<int>"))).join(index, "shard")
+    """query_id, q, vec_id, score: the k best found by each shard for each query (query_id,
+    embedding), its own row left out; q is a hash of the query's vector."""
+    rows = queries.withColumn("width", F.size("embedding"))
+    blocks = rows.groupBy("width").agg(F.ceil(F.count(F.lit(1)) / QUERIES_AT_ONCE).alias("blocks"))
+    packed = rows.join(blocks, "width").withColumn("block", F.pmod(F.xxhash64("query_id", "embedding"), F.col("blocks"))).groupBy("width", "block").agg(F.collect_list(F.struct("query_id", F.xxhash64("embedding").alias("q"), "embedding")).alias("rows"))
+    # the stated query set, in blocks, goes to each shard; the graphs stay
+    slices = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / SLICE)))
+    graphs = index.join(blocks, "width").select("width", "shard", slices.alias("slice"), F.lit(0).alias("kind"), "start", "ids", "raw", "graph", F.lit(None).cast(packed.schema["rows"].dataType).alias("rows"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("start", "int"), ("ids", "binary"), ("raw", "binary"), ("graph", "binary"))]
+    asked = packed.join(index.select("width", "shard"), "width").select("width", "shard", F.floor(F.col("block") / SLICE).alias("slice"), F.lit(1).alias("kind"), *nothing, "rows")
+
+    def answers(graph: tuple, rows: list[dict]) -> pa.RecordBatch:
+        full, single, ids, edges, start = graph
+        q = _vectors.unit(np.array([x["embedding"] for x in rows]))
+        me = np.array([x["query_id"] for x in rows])
+        found, _ = beam_search(single, edges, start, q.astype(np.float32), min(beam, max(len(full), OPEN + 1)))
+        found = found[:, : 4 * k + 8]
+        score = np.einsum("nfd,nd->nf", full[found], q)
+        score[found < 0] = -np.inf
+        out = ([], [], [], [])
+        for i in range(len(rows)):
+            vec = ids[found[i]]
+            # the query's own row: its id at its own vector
+            own = (vec == me[i]) & (full[found[i]] == q[i]).all(axis=1)[:, None]
+            s = np.where((vec >= 0) & ~own & (score[i] > -np.inf)[:, None], score[i][:, None], -np.inf).ravel()
+            vec = vec.ravel()
+            best = np.lexsort((vec, -s))[:k]
+            best = best[s[best] > -np.inf]
+            out[0].extend([int(me[i])] * len(best))
+            out[1].extend([rows[i]["q"]] * len(best))
+            out[2].extend(vec[best].tolist())
+            out[3].extend(s[best].tolist())
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.float64())], names=["query_id", "q", "vec_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = None
         for b in batches:
-            for r in b.to_pylist():
-                raw = np.frombuffer(r["raw"], np.float64).reshape(-1, r["width"])
-                ids = np.frombuffer(r["ids"], np.int64).reshape(len(raw), -1)
-                graph = np.frombuffer(r["graph"], np.int32).reshape(len(raw), -1).astype(np.int64)
-                rows = [q for q in r["rows"] if len(q["embedding"]) == r["width"]]
-                if not rows:
-                    continue
-                full = _vectors.unit(raw)
-                q = _vectors.unit(np.array([x["embedding"] for x in rows]))
-                me = np.array([x["query_id"] for x in rows])
-                found, _ = beam_search(full.astype(np.float32), graph, r["start"], q.astype(np.float32), min(beam, max(len(raw), OPEN + 1)))
-                found = found[:, : 4 * k + 8]
-                score = np.einsum("nfd,nd->nf", full[found], q)
-                score[found < 0] = -np.inf
-                out = ([], [], [])
-                for i in range(len(rows)):
-                    vec = ids[found[i]].ravel()
-                    s = np.repeat(score[i], ids.shape[1])
-                    real = (vec >= 0) & (s > -np.inf) & (vec != me[i])
-                    vec, s = vec[real], s[real]
-                    best = np.lexsort((vec, -s))[:k]
-                    out[0].extend([int(me[i])] * len(best))
-                    out[1].extend(vec[best].tolist())
-                    out[2].extend(s[best].tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            for i in range(b.num_rows):
+                r = {name: b.column(at)[i] for at, name in enumerate(b.schema.names)}
+                if r["kind"].as_py() == 0:
+                    raw = np.frombuffer(r["raw"].as_buffer(), np.float64).reshape(-1, r["width"].as_py())
+                    full = _vectors.unit(raw)
+                    ids = np.frombuffer(r["ids"].as_buffer(), np.int64).reshape(len(raw), -1).copy()
+                    edges = np.frombuffer(r["graph"].as_buffer(), np.int32).reshape(len(raw), -1).astype(np.int64)
+                    graph = full, full.astype(np.float32), ids, edges, r["start"].as_py()
+                else:
+                    yield answers(graph, r["rows"].as_py())
 
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return units.select("shard", "width", "start", "ids", "raw", "graph", "rows").repartition(parts).mapInArrow(run, "query_id long, vec_id long, score double")
+    units = graphs.union(asked).repartition(parts, "width", "shard", "slice").sortWithinPartitions("width", "shard", "slice", "kind")
+    return units.mapInArrow(run, "query_id long, q long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, beam: int = BEAM) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``vectors`` that ``is_query`` (a
     condition on vec_id) names."""
-    rows = vectors.filter(F.col("vec_id").isNotNull() & _vectors.usable()).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    rows = vectors.filter(F.col("vec_id").isNotNull() & _vectors.usable()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").distinct()
     first = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    distinct = rows.withColumn("i", first).filter(F.col("i") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_list(F.col("vec_id").cast("long"))).alias("ids"))
+    distinct = rows.withColumn("i", first).filter(F.col("i") <= k + 1).groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     index = written(build_index(written(distinct, "distinct-vectors"), k), "graph-index")
-    queries = rows.filter(is_query).select(F.col("vec_id").cast("long").alias("query_id"), "embedding")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "embedding")
+    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return search(index, queries, k, beam).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
