@@ -8,17 +8,18 @@ sample, ``SAMPLE`` documents for each language, drawn by a hash of doc_id; all b
 all texts are labelled.
 
 Defined cases: null text and text without letters give ``und`` and score 0; without any
-labelled row to learn from every text does; rows with null lang teach nothing; repeated
-rows each give a row; null doc_id is kept and learnt from; other columns are ignored.
+labelled row to learn from every text does; rows with null lang teach nothing; of equally
+probable languages the first by name is taken; repeated rows each give a row; null doc_id is
+kept and learnt from; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ SAMPLE = 300
 STEPS, BATCH, TRAIN_RUN, RATE = 450, 192, 64, 0.02
 #: Columns of runs worked on together.
 COLUMNS = 2048
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters are what Unicode calls so, here as in Spark's expressions.
+LETTER = regex.compile(r"\p{L}")
 
 
 def _gates(h: np.ndarray, g: np.ndarray, u: np.ndarray, n: int) -> np.ndarray:
@@ -97,8 +99,57 @@ class Network:
             sums[cols] = total.T
         return np.add.reduceat(sums.astype(np.float64), ends - runs, axis=0) / sizes[:, None]
 
+    def gradient(self, x: np.ndarray, lab: np.ndarray, mask: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross-entropy over the bytes of a batch and its gradients, through time.
+        ``x``: bytes (T, B), ``lab``: language of each column, ``mask``: 1 where a byte is."""
+        w, n, (T, B) = self.w, self.n, x.shape
+        kind = w["V"].dtype
+        kept = {}
+        for d in "fb":
+            h, hs = np.zeros((n, B), kind), []
+            for t in range(T) if d == "f" else range(T - 1, -1, -1):
+                g, u = w["W" + d][:, x[t]], w["U" + d] @ h
+                zr = 0.5 * np.tanh(g[: 2 * n] + u[: 2 * n]) + 0.5
+                c = np.tanh(g[2 * n :] + zr[n:] * u[2 * n :])
+                new = (c + zr[:n] * (h - c)) * mask[t]
+                hs.append((t, h, zr, c, u[2 * n :], new))
+                h = new
+            kept[d] = hs
+        both = np.zeros((T, 2 * n, B), kind)
+        for t, *_, h in kept["f"]:
+            both[t, :n] = h
+        for t, *_, h in kept["b"]:
+            both[t, n:] = h
+        logit = np.einsum("lh,thb->tlb", w["V"], both) + w["b"]
+        logit -= logit.max(axis=1, keepdims=True)
+        p = np.exp(logit)
+        total = p.sum(axis=1, keepdims=True)
+        loss = float(((np.log(total[:, 0]) - logit[:, lab, np.arange(B)]) * mask).sum() / mask.sum())
+        p /= total
+        p[:, lab, np.arange(B)] -= 1
+        p *= mask[:, None, :] / mask.sum()
+        grad = {"V": np.einsum("tlb,thb->lh", p, both), "b": p.sum(axis=(0, 2))[:, None]}
+        down = np.einsum("lh,tlb->thb", w["V"], p)
+        for d, part in (("f", slice(0, n)), ("b", slice(n, 2 * n))):
+            dh, U = np.zeros((n, B), kind), w["U" + d]
+            dU, dg = np.zeros_like(U), np.zeros((T, 3 * n, B), kind)
+            for t, h, zr, c, uc, _ in reversed(kept[d]):
+                dh = (dh + down[t, part]) * mask[t]
+                z, r = zr[:n], zr[n:]
+                dc = dh * (1 - z) * (1 - c * c)
+                dg[t, :n] = dh * (h - c) * z * (1 - z) * 2
+                dg[t, n : 2 * n] = dc * uc * r * (1 - r) * 2
+                dg[t, 2 * n :] = dc
+                du = np.concatenate((dg[t, : 2 * n], dc * r))
+                dU += du @ h.T
+                dh = dh * z + U.T @ du
+            flat = dg.transpose(1, 0, 2).reshape(3 * n, -1)
+            grad["W" + d] = np.stack([np.bincount(x.ravel(), weights=row, minlength=256) for row in flat]).astype(kind)
+            grad["U" + d] = dU
+        return loss, grad
+
     def fit(self, texts: list[bytes], y: np.ndarray, steps: int = STEPS, seed: int = 4) -> None:
-        rng, w, n = np.random.default_rng(seed), self.w, self.n
+        rng, w = np.random.default_rng(seed), self.w
         by = [np.flatnonzero(y == k) for k in range(len(self.langs))]
         m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in "ab")
         T, B = TRAIN_RUN, BATCH
@@ -110,45 +161,8 @@ class Network:
                 a = int(rng.integers(0, max(1, len(t) - T + 1)))
                 part = t[a : a + T]
                 x[: len(part), j], mask[: len(part), j] = np.frombuffer(part, np.uint8), 1
-            kept = {}
-            for d in "fb":
-                h, hs = np.zeros((n, B), np.float32), []
-                for t in range(T) if d == "f" else range(T - 1, -1, -1):
-                    g, u = w["W" + d][:, x[t]], w["U" + d] @ h
-                    zr = 0.5 * np.tanh(g[: 2 * n] + u[: 2 * n]) + 0.5
-                    c = np.tanh(g[2 * n :] + zr[n:] * u[2 * n :])
-                    new = (c + zr[:n] * (h - c)) * mask[t]
-                    hs.append((t, h, zr, c, u[2 * n :], new))
-                    h = new
-                kept[d] = hs
-            both = np.zeros((T, 2 * n, B), np.float32)
-            for t, *_, h in kept["f"]:
-                both[t, :n] = h
-            for t, *_, h in kept["b"]:
-                both[t, n:] = h
-            logit = np.einsum("lh,thb->tlb", w["V"], both) + w["b"]
-            p = np.exp(logit - logit.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[:, lab, np.arange(B)] -= 1
-            p *= mask[:, None, :] / mask.sum()
-            grad = {"V": np.einsum("tlb,thb->lh", p, both) + 1e-5 * w["V"], "b": p.sum(axis=(0, 2))[:, None]}
-            down = np.einsum("lh,tlb->thb", w["V"], p)
-            for d, part in (("f", slice(0, n)), ("b", slice(n, 2 * n))):
-                dh, U = np.zeros((n, B), np.float32), w["U" + d]
-                dU, dg = np.zeros_like(U), np.zeros((T, 3 * n, B), np.float32)
-                for t, h, zr, c, uc, _ in reversed(kept[d]):
-                    dh = (dh + down[t, part]) * mask[t]
-                    z, r = zr[:n], zr[n:]
-                    dc = dh * (1 - z) * (1 - c * c)
-                    dg[t, :n] = dh * (h - c) * z * (1 - z) * 2
-                    dg[t, n : 2 * n] = dc * uc * r * (1 - r) * 2
-                    dg[t, 2 * n :] = dc
-                    du = np.concatenate((dg[t, : 2 * n], dc * r))
-                    dU += du @ h.T
-                    dh = dh * z + U.T @ du
-                flat = dg.transpose(1, 0, 2).reshape(3 * n, -1)
-                grad["W" + d] = np.stack([np.bincount(x.ravel(), weights=row, minlength=256) for row in flat]).astype(np.float32)
-                grad["U" + d] = dU
+            _, grad = self.gradient(x, lab, mask)
+            grad["V"] = grad["V"] + 1e-5 * w["V"]
             rate = RATE * min(1, step / 20) * (1 - 0.9 * step / steps)
             for k, g in grad.items():
                 m1[k] = 0.9 * m1[k] + 0.1 * g
