@@ -256,7 +256,8 @@ def _with_spans(docs: DataFrame, window: int, gram: int):
     if not 0 < gram <= window <= gram + 255:
         raise ValueError("a window has 1 to 255 words more than a gram")
     partitions = pieces(docs, 4 * BUCKET_BYTES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = marks(pack(docs, 4 * partitions, window, gram), partitions, window)
+    # as many partitions for the texts, so that a task's share doesn't grow with the input
+    found = marks(pack(docs, 4 * partitions, window, gram), partitions, window).repartition(partitions, "k1", "k2")
     spans = found.groupBy("k1", "k2").agg(F.collect_list("spans").alias("spans"))
     rest = F.struct(*(c for c in docs.columns if c != "text")) if len(docs.columns) > 1 else F.struct(F.lit(0).alias("none"))
     keyed = docs.select(rest.alias("doc"), *_key(), "text")
@@ -268,7 +269,7 @@ def _with_spans(docs: DataFrame, window: int, gram: int):
             texts = [None if t is None else fast.compress(t) for t in b.column(3).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(texts, pa.binary())], names=["doc", "k1", "k2", "text"])
 
-    return keyed.mapInArrow(press, f"doc {kind}, k1 long, k2 long, text binary").join(spans, ["k1", "k2"], "left")
+    return keyed.mapInArrow(press, f"doc {kind}, k1 long, k2 long, text binary").repartition(partitions, "k1", "k2").join(spans, ["k1", "k2"], "left")
 
 
 def _unpressed() -> Callable[[bytes | None], bytes | None]:
