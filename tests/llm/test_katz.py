@@ -11,39 +11,46 @@ def brute(rows, cut=katz.CUT):
     """doc_id -> (tokens, known, N, base, score), with dictionaries."""
     docs = [(d, [w.decode() for w in (t or "").encode().lower().split()]) for d, t in rows]
     train = [w for d, w in docs if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
-    uni, pairs = Counter(), Counter()
+    uni, tables = Counter(), {2: {}, 3: {}}
     for w in train:
-        uni.update([*w, "</s>"])
-        pairs.update(zip(["<s>", *w], [*w, "</s>"]))
+        line = ["<s>", "<s>", *w, "</s>"]
+        uni.update(line[2:])
+        for n in (2, 3):
+            for i in range(2, len(line)):
+                tables[n].setdefault(tuple(line[i - n + 1 : i]), Counter())[line[i]] += 1
     N, V = sum(uni.values()), len(uni)
-    cc = lambda c: np.array([sum(v == r for v in c.values()) for r in range(1, cut + 2)])
-    du, db = katz.discounts(cc(uni)), katz.discounts(cc(pairs))
-    if cc(uni)[:cut].sum() == 0:
+    cc = lambda counts: np.array([sum(v == r for v in counts) for r in range(1, cut + 2)])
+    d = {n: katz.discounts(cc([c for row in t.values() for c in row.values()])) for n, t in tables.items()}
+    du = katz.discounts(cc(uni.values()))
+    if cc(uni.values())[:cut].sum() == 0:
         pu, unk = {w: c / (N + 1) for w, c in uni.items()}, 1 / (N + 1)
     else:
         pu = {w: c * (du[c - 1] if c <= cut else 1) / N for w, c in uni.items()}
         unk = 1 - sum(pu.values())
-    after = {}
-    for (a, b), c in pairs.items():
-        after.setdefault(a, {})[b] = c
 
-    def prob(a, b):
-        if a not in after:
+    def prob(context, b):
+        if not context:
             return pu.get(b, unk)
-        row = after[a]
+        n = len(context) + 1
+        row = tables[n].get(context)
+        if row is None:
+            return prob(context[1:], b)
         plus = 0 if any(c <= cut for c in row.values()) else 1
         total = sum(row.values()) + plus
         if b in row:
-            return row[b] * (db[row[b] - 1] if row[b] <= cut else 1) / total
-        rest = sum((1 - db[c - 1]) * c for c in row.values() if c <= cut) + plus
-        return rest / total / (1 - sum(pu[x] for x in row)) * pu.get(b, unk)
+            return row[b] * (d[n][row[b] - 1] if row[b] <= cut else 1) / total
+        if context not in alpha:
+            rest = sum((1 - d[n][c - 1]) * c for c in row.values() if c <= cut) + plus
+            alpha[context] = rest / total / (1 - sum(prob(context[1:], x) for x in row))
+        return alpha[context] * prob(context[1:], b)
 
-    for a in [*list(after)[:50], "never seen"]:
+    alpha = {}
+    for a in [*list(tables[2])[:20], *list(tables[3])[:30], ("never", "seen")]:
         assert abs(sum(prob(a, b) for b in [*uni, "<unk>"]) - 1) < 1e-9
     out = []
-    for d, w in docs:
-        t = [*w, "</s>"]
-        out.append((d, len(t), sum(uni[x] > 0 for x in t), N, sum(math.log10((uni[x] + 1) / (N + V + 1)) for x in t), sum(math.log10(prob(a, b)) for a, b in zip(["<s>", *w], t))))
+    for doc, w in docs:
+        t = ["<s>", "<s>", *w, "</s>"]
+        out.append((doc, len(t) - 2, sum(uni[x] > 0 for x in t[2:]), N, sum(math.log10((uni[x] + 1) / (N + V + 1)) for x in t[2:]), sum(math.log10(prob((t[i - 2], t[i - 1]), t[i])) for i in range(2, len(t)))))
     return out
 
 
@@ -73,3 +80,30 @@ def test_tables_in_which_good_turing_has_nothing(spark):
 
 def test_empty_table(spark):
     assert katz.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hot_words_in_pieces_clashing_columns_and_a_long_text(spark, monkeypatch):
+    """Words that most tokens follow, over more buckets than there is text for."""
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 1500)
+    monkeypatch.setattr(katz, "FREQUENT", 12)
+    rng = np.random.default_rng(7)
+    words = ["the", "the", "a", *(f"w{i}" for i in range(40))]
+    rows = [(i, " ".join(w for _ in range(rng.integers(1, 30)) for w in (["the"] if rng.random() < 0.4 else []) + [words[int(rng.integers(43))]])) for i in range(150)]
+    rows += [(1000 + i, "the unseen the never the") for i in range(20)] + [(5000, "the w1 " * 4_000)]
+    df = spark.createDataFrame([(*r, "clash", 0) for r in rows], "doc_id long, text string, k string, score int").repartition(5)
+    got = {r.doc_id: r for r in katz.score_documents(df).collect()}
+    lay = katz.layout_of(katz._prepared(df, None)[1], katz.pieces(df, 1500), 1)
+    assert len(lay.hot) >= 3 and katz.BEGIN in lay.hot and lay.pieces.max() > 10
+    want = brute(rows)
+    assert len(got) == len(want)
+    for doc, n, known, total, base, score in want:
+        r = got[doc]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert abs(r.base_score - base) < 1e-6 * max(1, -base) and abs(r.score - score) < 1e-6 * max(1, -score)
+
+
+def test_packed_hashes_come_back():
+    h = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
+    assert np.array_equal(katz.unsteps(katz.steps(h)), h) and len(katz.unsteps(katz.steps(h[:0]))) == 0
+    parts = katz.part_of(h, 7)
+    assert (np.diff(parts.astype(int)) >= 0).all() and set(parts.tolist()) == set(range(7))

@@ -1,18 +1,25 @@
 """Katz backoff language model scores.
 
-A bigram model with Good-Turing discounts up to count ``CUT`` backs off to a unigram
-model, which leaves its own discounted mass to unknown words; for every context the
-probabilities of all words sum to one exactly. Where Good-Turing's ratio is of no use
-(too few counts of counts) the discount is (r - 1/2) / r; a context whose counts are all
-above ``CUT`` gets one more in its total, and that mass goes to the words it hasn't seen.
-
-Text is read three times and travels as packed arrays. (1) Word counts: the table of
-words, dealt by word; from it each context bucket gets the counts of the words that
-occur in it. (2) Pairs, dealt by context: a bucket holds all pairs of its contexts, so it
-counts them, finds what each context leaves over and evaluates each token as far as
-the counts of counts of all buckets aren't needed. (3) With those, each bucket's
-scores are finished and summed by document. Both tables lie in the shared folder. A
-bucket's size follows ``BUCKET_BYTES`` of input, so buckets grow in number, not in size.
+A trigram model backs off to a bigram and that to a unigram model, which leaves its own
+discounted mass to unknown words. Good-Turing discounts hold up to count ``CUT``, by order;
+for every context the probabilities of all words sum to one exactly. Where Good-Turing's
+ratio is of no use (too few counts of counts) the discount is (r - 1/2) / r; a context
+whose counts are all above ``CUT`` gets one more in its total, and that mass goes to the
+words it hasn't seen. A text stands behind two marks of its beginning.
+
+Text is read four times and travels as packed arrays. (0) A bounded sample says which
+words are frequent; that only decides how things are packed and dealt. (1) Word counts,
+dealt by word: each context bucket gets the counts of the words that occur in it, as
+numbers in the order of the words' hashes, which the bucket has itself. (2) Bigrams and
+trigrams as hashes, dealt by hash: counts of counts, and so the discounts. (3) Trigrams with
+the documents they are in, dealt by their middle word. So a bucket holds all trigrams and
+bigrams of its contexts: it builds both tables, finds what each context leaves over and
+evaluates each token recursively. What it finds is summed by document.
+
+A context word that many tokens follow is dealt into pieces by the word before it. Bigram
+counts of such hot words come with the word counts, and what they leave over is added up
+from the pieces. Buckets grow in number with the input, not in size; only tokens after one
+and the same frequent pair of words stay together.
 
 Defined cases: null text is empty text, which has the end token only; without training
 documents every score and base score is 0 (N = V = 0); null doc_id counts as training;
@@ -22,34 +29,42 @@ repeated rows each count and each give a row; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
 from textloom.scratch import forget, release, written
-from textloom.sizes import pieces
+from textloom.sizes import estimated_bytes, pieces
 
 CUT = 5
 BUCKET_BYTES = 7 << 20
 PACK_BYTES = 8 << 20
+#: Words with codes of two bytes, and the bytes of text they are found in.
+FREQUENT, SAMPLE_BYTES = 60_000, 32 << 20
+#: A context word with more than 1 / (HOT * buckets) of the tokens is dealt in pieces.
+HOT = 4
 BEGIN, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _KINDS = [np.dtype(k) for k in ("u1", "u2", "u4", "u8", "i8", "f8")]
+_press, _back = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def dump(*arrays: np.ndarray) -> bytes:
-    head = np.array([x for a in arrays for x in (_KINDS.index(a.dtype), len(a))], np.int64)
-    return np.int64(len(arrays)).tobytes() + head.tobytes() + b"".join(a.tobytes() for a in arrays)
+    head = np.array([len(arrays), *(x for a in arrays for x in (_KINDS.index(a.dtype), len(a)))], np.int64)
+    return _press.compress(head.tobytes() + b"".join(a.tobytes() for a in arrays))
 
 
 def load(blob: bytes) -> list[np.ndarray]:
-    n = int(np.frombuffer(blob, np.int64, 1)[0])
-    head, at, out = np.frombuffer(blob, np.int64, 2 * n, 8), 8 + 16 * n, []
+    raw = _back.decompress(blob)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    head, at, out = np.frombuffer(raw, np.int64, 2 * n, 8), 8 + 16 * n, []
     for kind, size in head.reshape(-1, 2):
-        out.append(np.frombuffer(blob, _KINDS[kind], size, at))
+        out.append(np.frombuffer(raw, _KINDS[kind], size, at))
         at += out[-1].nbytes
     return out
 
@@ -59,19 +74,6 @@ def small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 256 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
-LOW48 = np.uint64((1 << 48) - 1)
-
-
-def thin(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """48 bits of each word's hash. They only tell apart words of one context bucket, which
-    are a few hundred thousand at any size of the corpus."""
-    return words.astype(np.uint32), (words >> np.uint64(32)).astype(np.uint16)
-
-
-def thick(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-
-
 def spare(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts as bytes; places and values of those that don't fit."""
     big = np.flatnonzero(counts > 255)
@@ -84,6 +86,15 @@ def full(counts: np.ndarray, big: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
+def steps(sorted_: np.ndarray) -> np.ndarray:
+    """Differences of sorted hashes, byte by byte, so that the high bytes are mostly zero."""
+    return np.ascontiguousarray(np.diff(sorted_, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).ravel()
+
+
+def unsteps(planes: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def starts(sorted_: np.ndarray, *more: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin in sorted arrays."""
     if not len(sorted_):
@@ -98,87 +109,205 @@ def runs(first: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(first, n))
 
 
+def part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """Deals hashes by ranges: parts in order hold hashes in order."""
+    return ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _text.mix(_text.mix(a + np.uint64(_text.BASE)) ^ b)
+
+
 def held_out(remainder: int = 2, of: int = 7):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder, F.lit(False))
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(contexts, targets, document's place, keys, train flags) for about PACK_BYTES of
-    text at a time; columns: k, train, text."""
+@dataclass
+class Layout:
+    """How things are dealt and packed; no result depends on it."""
+
+    buckets: int
+    frequent: np.ndarray  # sorted hashes, FREQUENT + 2 at most
+    hot: np.ndarray  # sorted hashes of hot context words
+    pieces: np.ndarray  # of each hot word
+
+    def hot_place(self, v: np.ndarray) -> np.ndarray:
+        """Place among the hot words, -1 for others."""
+        if not len(self.hot):
+            return np.full(len(v), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hot, v), len(self.hot) - 1)
+        return np.where(self.hot[at] == v, at, -1)
+
+    def bucket(self, u: np.ndarray, v: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        out = v % np.uint64(self.buckets)
+        some = np.flatnonzero(hot >= 0)
+        piece = _text.mix(u[some]) % self.pieces[hot[some]].astype(np.uint64)
+        out[some] = _text.mix(v[some] + piece) % np.uint64(self.buckets)
+        return out.astype(np.uint32)
+
+    def codes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two bytes a word, 0 for those that aren't frequent; the hashes of these."""
+        at = np.minimum(np.searchsorted(self.frequent, x), len(self.frequent) - 1)
+        code = np.where(self.frequent[at] == x, at + 1, 0).astype(np.uint16)
+        return code, x[code == 0]
+
+    def words(self, code: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        out = self.frequent[np.maximum(code, 1) - 1]
+        out[code == 0] = rare
+        return out
+
+
+@dataclass
+class Batch:
+    """Tokens of about PACK_BYTES of text: the two words before each and itself, the place of
+    its document, and for each document its key and whether it teaches."""
+
+    u: np.ndarray
+    v: np.ndarray
+    w: np.ndarray
+    doc: np.ndarray
+    key: np.ndarray
+    train: np.ndarray
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
+    """Columns: k, train, text."""
     held, size, base = [], 0, 0
+
+    def whole() -> Batch:
+        out = Batch(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+        return out
+
     for b in _text.slices(batches):
         texts = [t.lower() for t in b.column(2).cast(pa.binary()).to_pylist()]
         words, n = _text.tokens(texts)
         ends = np.cumsum(n + 1)
-        c, t = np.empty(int(ends[-1]), np.uint64), np.empty(int(ends[-1]), np.uint64)
-        inner = np.ones(len(c), bool)
-        inner[ends - 1] = False
-        t[inner], t[~inner] = words, END
-        inner[:] = True
-        inner[ends - n - 1] = False
-        c[inner], c[~inner] = words, BEGIN
-        held.append((c, t, (np.repeat(np.arange(len(n)), n + 1) + base).astype(np.uint32), b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)))
+        w = np.empty(int(ends[-1]), np.uint64)
+        last = np.zeros(len(w), bool)
+        last[ends - 1] = True
+        w[~last], w[last] = words, END
+        first = ends - n - 1
+        v = np.roll(w, 1)
+        v[first] = BEGIN
+        u = np.roll(v, 1)
+        u[first] = BEGIN
+        held.append((u, v, w, (np.repeat(np.arange(len(n)), n + 1) + base).astype(np.uint32), b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)))
         size, base = size + sum(map(len, texts)), base + len(texts)
         if size >= PACK_BYTES:
-            whole = [np.concatenate(x) for x in zip(*held)]
-            held, size, base = [], 0, 0
-            yield whole.pop(0), whole.pop(0), *whole
+            size = base = 0
+            yield whole()
     if held:
-        whole = [np.concatenate(x) for x in zip(*held)]
-        held = []
-        yield whole.pop(0), whole.pop(0), *whole
+        yield whole()
 
 
-def word_table(rows: DataFrame, buckets: int, partitions: int) -> DataFrame:
-    """bucket, kind, blob. kind 0: (words, training counts) that context bucket needs;
-    kind -1 (bucket -1): counts of counts 1..CUT + 1, number of words, tokens."""
-    P = np.uint64(buckets)
+def layout_of(rows: DataFrame, buckets: int, size: int) -> Layout:
+    """From a bounded sample of whole texts; another sample would give the same results."""
+    share = min(1.0, SAMPLE_BYTES / max(1, size))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, t, doc, _, train in _batches(batches):
-            order = np.lexsort((small(c % P), t))
-            t, cb, own = t[order], (c % P).astype(np.uint32)[order], train[doc[order]]
-            pair = starts(t, cb)
-            n = np.add.reduceat(own.astype(np.uint32), pair)
-            t, cb = t[pair], cb[pair]
-            word = starts(t)
-            many, n = runs(word, len(t)), np.add.reduceat(n, word)
-            t, to = t[word], (t[word] >> np.uint64(40)) % P
-            by = np.argsort(small(to), kind="stable")
-            ends = np.searchsorted(to[by], np.arange(buckets + 1, dtype=np.uint64))
-            begin = np.cumsum(many) - many
-            out = []
-            where = np.flatnonzero(np.diff(ends))
-            for u in where:
-                r = by[ends[u] : ends[u + 1]]
-                m = many[r]
-                at = np.repeat(begin[r] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                out.append(dump(t[r], small(n[r]), small(m), small(cb[at])))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array(out, pa.binary())], names=["bucket", "blob"])
-
-    def merge(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        t, n, m, cb = (np.concatenate(x) for x in zip(*map(load, blobs)))
-        order = np.argsort(t, kind="stable")
-        first = starts(t[order])
-        total = np.add.reduceat(n[order].astype(np.int64), first)
-        word = t[order][first]
-        place = np.empty(len(t), np.int64)
-        place[order] = np.repeat(np.arange(len(first)), runs(first, len(t)))
-        key = np.unique(cb.astype(np.uint64) * np.uint64(len(word)) + np.repeat(place, m.astype(np.int64)).astype(np.uint64))
-        to, w = key // np.uint64(len(word)), (key % np.uint64(len(word))).astype(np.int64)
-        ends = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
-        where = np.flatnonzero(np.diff(ends))
-        own = [w[ends[b] : ends[b + 1]] for b in where]
-        out = [dump(*thin(word[x]), *spare(total[x])) for x in own]
-        out.append(dump(np.append(np.bincount(total[(total > 0) & (total <= CUT + 1)], minlength=CUT + 2)[1:], ((total > 0).sum(), total.sum())).astype(np.int64)))
-        yield pa.RecordBatch.from_arrays([pa.array([*where, -1], pa.int64()), pa.array([0] * len(where) + [-1], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "kind", "blob"])
-
-    packed = rows.mapInArrow(count, "bucket long, blob binary")
-    return by_bucket(packed, partitions, merge, "bucket long, kind int, blob binary")
+        for b in _batches(batches):
+            h, n = np.unique(b.v, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    some = rows if share == 1 else rows.sample(share, 5)
+    counts = some.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toArrow()
+    h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    hot = n * HOT * buckets > n.sum()
+    order = np.argsort(h[hot])
+    pieces_ = -(-n[hot] * HOT * buckets // max(1, n.sum()))
+    return Layout(buckets, np.unique(np.append(h, (BEGIN, END))), h[hot][order], pieces_[order])
+
+
+def _keys(h: np.ndarray, bucket: np.ndarray, own: np.ndarray, name: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """(part, blob): each hash with its training count, its name and the buckets it occurs in."""
+    order = np.lexsort((bucket, h))
+    h, bucket, own, name = h[order], bucket[order], own[order], name[order]
+    first = starts(h, bucket)
+    n = np.add.reduceat(own.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    h, bucket = h[first], bucket[first]
+    word = starts(h)
+    many, n = runs(word, len(h)), np.add.reduceat(n, word) if len(word) else n
+    begin, h, name = np.cumsum(many) - many, h[word], name[first][word]
+    ends = np.searchsorted(part_of(h, parts), np.arange(parts + 1, dtype=np.uint64))
+    for p in np.flatnonzero(np.diff(ends)):
+        r = slice(ends[p], ends[p + 1])
+        yield int(p), dump(steps(h[r]), *spare(n[r]), *spare(many[r]), small(bucket[begin[r.start] : begin[r.stop - 1] + many[r.stop - 1]]), small(name[r]))
+
+
+class Sums:
+    """Places of the numbers that parts of the word table add up to: counts of counts 1..CUT + 1,
+    number of words and of tokens, then counts of hot words, then of their bigrams."""
+
+    def __init__(self, hot: int):
+        self.total, self.few = slice(CUT + 3, CUT + 3 + hot), slice(CUT + 3 + hot, CUT + 3 + hot * (CUT + 1))
+        self.size = self.few.stop
+
+
+def word_table(rows: DataFrame, lay: Layout) -> DataFrame:
+    """bucket, kind, part, blob, at, n. kind 0: training counts of the words of a bucket, 1:
+    counts of its bigrams behind hot words, and whether the bucket owns them; both in the
+    order of the hashes, by part. bucket -1: parts ``n`` of the sums at places ``at`` (Sums)."""
+    parts = lay.buckets
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _batches(batches):
+            hot = lay.hot_place(b.v)
+            to, own = lay.bucket(b.u, b.v, hot), b.train[b.doc]
+            out = [(p, 0, blob) for p, blob in _keys(b.w, to, own, np.zeros(len(to), np.uint8), parts)]
+            some = hot >= 0
+            out += [(p, 1, blob) for p, blob in _keys(pair_hash(b.v[some], b.w[some]), to[some], own[some], hot[some], parts)]
+            p, kind, blob = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["bucket", "kind", "blob"])
+
+    def merged(blobs: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+        """Hashes, counts, and (bucket, place) of where they occur, in that order."""
+        hashes = [unsteps(x[0]) for x in blobs]
+        counts = [full(*x[1:4]) for x in blobs]
+        h = np.concatenate(hashes)
+        word, place = np.unique(h, return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(counts), minlength=len(word)).astype(np.int64)
+        where = np.repeat(place, np.concatenate([full(*x[4:7]) for x in blobs]))
+        key = np.unique(np.concatenate([x[7] for x in blobs]).astype(np.uint64) * np.uint64(len(word)) + where.astype(np.uint64))
+        return word, total, place, (key // np.uint64(len(word))).astype(np.int64), (key % np.uint64(len(word))).astype(np.int64)
+
+    sums = Sums(len(lay.hot))
+
+    def merge(held: list[tuple[int, bytes]], part: int) -> Iterator[pa.RecordBatch]:
+        out, n = [], np.zeros(sums.size, np.int64)
+        for k in (0, 1):
+            blobs = [load(x) for kind, x in held if kind == k]
+            if not blobs:
+                continue
+            word, total, place, to, w = merged(blobs)
+            ends = np.searchsorted(to, np.arange(lay.buckets + 1))
+            owner = np.zeros(len(w), np.uint8)
+            owner[np.unique(w, return_index=True)[1]] = 1
+            for b in np.flatnonzero(np.diff(ends)):
+                own = slice(ends[b], ends[b + 1])
+                out.append((int(b), k, dump(*spare(total[w[own]]), *([np.packbits(owner[own])] if k else []))))
+            low = (total > 0) & (total <= CUT + 1 - k)
+            if k == 0:
+                at = lay.hot_place(word)
+                n[: CUT + 1] = np.bincount(total[low], minlength=CUT + 2)[1:]
+                n[CUT + 1 : CUT + 3] = (total > 0).sum(), total.sum()
+                n[sums.total][at[at >= 0]] = total[at >= 0]
+            else:
+                name = np.zeros(len(word), np.int64)
+                name[place] = np.concatenate([x[8] for x in blobs])
+                n[sums.few] = np.bincount(name[low] * CUT + total[low] - 1, minlength=len(lay.hot) * CUT)
+        at = np.flatnonzero(n)
+        b, kind, blob = zip(*out) if out else ((), (), ())
+        null = [None] * len(out)
+        yield pa.RecordBatch.from_arrays([pa.array([*b, -1], pa.int64()), pa.array([*kind, 3], pa.int32()), pa.array([part] * (len(b) + 1), pa.int64()), pa.array([*blob, None], pa.binary()), pa.array([*null, at], pa.list_(pa.int64())), pa.array([*null, n[at]], pa.list_(pa.int64()))], names=["bucket", "kind", "part", "blob", "at", "n"])
+
+    packed = rows.mapInArrow(count, "bucket long, kind int, blob binary")
+    return by_bucket(packed, parts, merge, "bucket long, kind int, part long, blob binary, at array<long>, n array<long>", "kind")
 
 
 def by_bucket(packed: DataFrame, partitions: int, done, schema: str, *sort: str) -> DataFrame:
-    """Calls ``done`` with all blobs of a bucket (with ``sort``: (kind, blob) pairs)."""
+    """Calls ``done`` with all (sort columns, blob) of a bucket, in that order, and its number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -186,16 +315,49 @@ def by_bucket(packed: DataFrame, partitions: int, done, schema: str, *sort: str)
             cols = [batch.column(batch.schema.names.index(x)).to_pylist() for x in ("bucket", *sort, "blob")]
             for b, *rest in zip(*cols):
                 if b != bucket and held:
-                    yield from done(held)
+                    yield from done(held, bucket)
                     held = []
                 bucket = b
-                held.append(tuple(rest) if sort else rest[0])
+                held.append(tuple(rest))
         if held:
-            yield from done(held)
+            yield from done(held, bucket)
 
     return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket", *sort).mapInArrow(run, schema)
 
 
+def counts_of_counts(rows: DataFrame, parts: int) -> np.ndarray:
+    """Two rows, of bigrams and trigrams: how many occur 1..CUT + 1 times in training."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _batches(batches):
+            own = b.train[b.doc]
+            u, v, w = b.u[own], b.v[own], b.w[own]
+            pair = pair_hash(v, w)
+            out = []
+            for order, h in ((2, pair), (3, pair_hash(u, pair))):
+                h, n = np.unique(h, return_counts=True)
+                ends = np.searchsorted(part_of(h, parts), np.arange(parts + 1, dtype=np.uint64))
+                out += [(int(p), order, dump(steps(h[ends[p] : ends[p + 1]]), *spare(n[ends[p] : ends[p + 1]]))) for p in np.flatnonzero(np.diff(ends))]
+            p, order, blob = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(order, pa.int32()), pa.array(blob, pa.binary())], names=["bucket", "kind", "blob"])
+
+    def count(held: list[tuple[int, bytes]], part: int) -> Iterator[pa.RecordBatch]:
+        for order in (2, 3):
+            some = [load(x) for k, x in held if k == order]
+            if some:
+                h, n = np.concatenate([unsteps(x[0]) for x in some]), np.concatenate([full(*x[1:]) for x in some])
+                by = np.argsort(h)
+                total = np.add.reduceat(n[by], starts(h[by]))
+                few = np.bincount(total[total <= CUT + 1], minlength=CUT + 2)[1:]
+                yield pa.RecordBatch.from_arrays([pa.array([order], pa.int32()), pa.array([few.tolist()], pa.list_(pa.int64()))], names=["kind", "few"])
+
+    found = by_bucket(rows.mapInArrow(pack, "bucket long, kind int, blob binary"), parts, count, "kind int, few array<long>", "kind")
+    out = np.zeros((2, CUT + 1), np.int64)
+    for r in found.select("kind", F.posexplode("few").alias("r", "n")).groupBy("kind", "r").agg(F.sum("n").alias("n")).collect():
+        out[r.kind - 2, r.r] = r.n
+    return out
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Good-Turing discounts for counts 1..CUT from counts of counts 1..CUT + 1."""
     r = np.arange(1, CUT + 1)
@@ -207,6 +369,10 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.where((d > 0) & (d < 1), d, plain)
 
 
+def discounted(n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return n * np.append(np.insert(d, 0, 1.0), 1.0)[np.minimum(n, CUT + 1)]
+
+
 class Unigrams:
     """Probabilities of words by their training counts; 0 stands for unknown words."""
 
@@ -218,9 +384,7 @@ class Unigrams:
         self.unknown = float(((1 - self.d) * np.arange(1, CUT + 1) * self.n[:CUT]).sum() / self.size) if few else 1 / self.size
 
     def __call__(self, c: np.ndarray) -> np.ndarray:
-        p = c / self.size
-        low = (c > 0) & (c <= CUT)
-        p[low] *= self.d[c[low] - 1]
+        p = discounted(c, self.d) / self.size
         p[c == 0] = self.unknown
         return p
 
@@ -228,164 +392,248 @@ class Unigrams:
         return np.log10((c + 1) / (self.total + self.v + 1))
 
 
-def pair_blobs(rows: DataFrame, buckets: int) -> DataFrame:
-    """bucket, kind, blob. kind 1: the pairs of a batch whose context is in the bucket, with
-    the documents (places in the batch, and whether they teach) of each; kind 2: the keys
-    of a batch's documents, once a batch. A token costs about 8 bytes in any number of
-    buckets: nothing is stored for each document of each bucket."""
-    P = np.uint64(buckets)
+@dataclass
+class Model:
+    """What all buckets share; sizes are those of the layout."""
+
+    lay: Layout
+    uni: Unigrams
+    d: tuple[np.ndarray, np.ndarray]  # discounts of bigrams and trigrams
+    hot_total: np.ndarray  # tokens behind each hot word
+    hot_few: np.ndarray  # its bigrams with counts 1..CUT
+
+
+def trigram_blobs(rows: DataFrame, lay: Layout) -> DataFrame:
+    """bucket, kind, part, blob. kind 1: the trigrams of a batch in the bucket, with the
+    documents (places in the batch, and whether they teach) of each; kind 2: the keys of a
+    batch's documents, once a batch. Nothing is stored for each document of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, t, doc, k, train in _batches(batches):
-            name = np.array([xxhash.xxh64_intdigest(k.tobytes())], np.uint64)
-            doc = doc * np.uint32(2) + train[doc].astype(np.uint32)
-            order = np.lexsort((t, c))
-            c, t, doc = c[order], t[order], small(doc[order])
-            context = starts(c)
-            size = runs(context, len(c))
-            to = c[context] % P
-            by = np.argsort(small(to), kind="stable")
-            ends = np.searchsorted(to[by], np.arange(buckets + 1, dtype=np.uint64))
+        for b in _batches(batches):
+            name = np.array([xxhash.xxh64_intdigest(b.key.tobytes())], np.uint64)
+            doc = b.doc * np.uint32(2) + b.train[b.doc].astype(np.uint32)
+            to = lay.bucket(b.u, b.v, lay.hot_place(b.v))
+            order = np.lexsort((b.u, b.w, b.v, to))
+            u, v, w, to, doc = b.u[order], b.v[order], b.w[order], to[order], small(doc[order])
+            row = starts(to, v, w, u)
+            m = runs(row, len(to))
+            u, v, w, to = u[row], v[row], w[row], to[row]
+            ends = np.searchsorted(to, np.arange(lay.buckets + 1, dtype=np.uint32))
+            at = np.append(row, len(doc))
             out, where = [], np.flatnonzero(np.diff(ends))
-            for u in where:
-                r = by[ends[u] : ends[u + 1]]
-                n = size[r]
-                at = np.repeat(context[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                own_t, own_c = t[at], np.repeat(np.arange(len(r)), n)
-                pair = starts(own_t, own_c)
-                per = np.bincount(own_c[pair], minlength=len(r))
-                out.append(dump(name, c[context[r]], *spare(per), *thin(own_t[pair]), *spare(runs(pair, len(at))), doc[at]))
-            out.append(dump(name, k))
-            yield pa.RecordBatch.from_arrays([pa.array([*where, int(name[0] % P)], pa.int64()), pa.array([1] * len(where) + [2], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "kind", "blob"])
-
-    return rows.mapInArrow(run, "bucket long, kind int, blob binary")
-
-
-def evaluate(held: list[tuple[int, bytes]], uni: Unigrams) -> Iterator[pa.RecordBatch]:
-    """kind 1: counts of counts of the bucket's pairs, and a blob that finish() reads; kind 2
-    as it came."""
-    for kind, blob in held:
-        if kind == 2:
-            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([None], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["kind", "numbers", "blob"])
-    if not any(kind == 1 for kind, _ in held):
-        return
-    words, counts = zip(*((thick(a, b), full(*c)) for a, b, *c in (load(x) for kind, x in held if kind == 0)))
-    words, counts = np.concatenate(words), np.concatenate(counts)
-    order = np.argsort(words, kind="stable")
-    words, counts = words[order], counts[order]
-    C, T, M, D, names, sizes, base = [], [], [], [], [], [], 0
-    for kind, blob in held:
-        if kind == 1:
-            name, c, p0, p1, p2, low, high, m0, m1, m2, doc = load(blob)
-            C.append(np.repeat(c, full(p0, p1, p2)))
-            T.append(np.searchsorted(words, thick(low, high)).astype(np.uint32))
-            M.append(full(m0, m1, m2).astype(np.uint32))
-            D.append(doc.astype(np.uint32) + np.uint32(2 * base))
-            names.append(name[0])
-            sizes.append(int(doc.max() >> 1) + 1)
-            base += sizes[-1]
-    C, T, M, D = (np.concatenate(x) for x in (C, T, M, D))
-    teach = (D & np.uint32(1)).astype(bool)
-    D >>= np.uint32(1)
-    # training count of each pair row, then of each pair
-    rows = np.repeat(np.arange(len(C), dtype=np.uint32), M)
-    own = np.bincount(rows[teach], minlength=len(C)).astype(np.int64)
-    del teach
-    order = np.lexsort((T, C))
-    C, T = C[order], T[order]
-    pair = starts(C, T)
-    n = np.add.reduceat(own[order], pair)
-    back = np.empty(len(order), np.uint32)
-    back[order] = np.repeat(np.arange(len(pair), dtype=np.uint32), runs(pair, len(order)))
-    C, T = C[pair], T[pair]
-    token = back[rows]
-    del order, own, back, rows, M
-    context = starts(C)
-    of = np.repeat(np.arange(len(context)), runs(context, len(C)))
-    total = np.add.reduceat(n, context)
-    few = np.stack([np.bincount(of[n == r], minlength=len(context)) for r in range(1, CUT + 1)])
-    p = uni(counts[T])
-    left = 1 - np.bincount(of[n > 0], weights=p[n > 0], minlength=len(context))
-    plus = (few.sum(axis=0) == 0) & (total > 0)
-    seen = n > 0
-    value = np.where(seen, np.log10(np.maximum(n, 1) / np.maximum(total + plus, 1)[of]), np.log10(p))
-    add = lambda x: np.bincount(D, weights=x[token], minlength=base)
-    tokens = np.bincount(D, minlength=base)
-    here = np.flatnonzero(tokens)
-    batch = np.repeat(np.arange(len(names)), sizes)[here]
-    local = here - (np.cumsum(sizes) - sizes)[batch]
-    low = [small(add(n == r)[here].astype(np.int64)) for r in range(1, CUT + 1)]
-    gone = (~seen & (total > 0)[of])[token]
-    place = np.cumsum(tokens > 0) - 1
-    ctx, which = np.unique(of[token[gone]], return_inverse=True)
-    numbers = np.bincount(n[(n > 0) & (n <= CUT + 1)], minlength=CUT + 2)[1:].tolist()
-    blob = dump(np.array(names, np.uint64), np.bincount(batch, minlength=len(names)), small(local), add(value)[here], add(uni.base(counts[T]))[here], small(add(counts[T] > 0)[here].astype(np.int64)), small(tokens[here]), *low,
-                small(place[D[gone]]), small(which), *(small(x[ctx]) for x in few), (total + plus)[ctx].astype(np.int64), left[ctx], plus[ctx].astype(np.uint8))
-    yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([numbers], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=["kind", "numbers", "blob"])
-
-
-def finish(blob: bytes, d: np.ndarray) -> Iterator[tuple[int, bytes]]:
+            for p in where:
+                r = slice(ends[p], ends[p + 1])
+                context = starts(v[r])
+                out.append(dump(name, *lay.codes(v[r][context]), *spare(runs(context, r.stop - r.start)), *lay.codes(w[r]), *lay.codes(u[r]), *spare(m[r]), doc[at[r.start] : at[r.stop]]))
+            out.append(dump(name, b.key))
+            yield pa.RecordBatch.from_arrays([pa.array([*where, int(name[0] % np.uint64(lay.buckets))], pa.int64()), pa.array([5] * len(where) + [6], pa.int32()), pa.array([0] * len(out), pa.int64()), pa.array(out, pa.binary())], names=["bucket", "kind", "part", "blob"])
+
+    return rows.mapInArrow(run, "bucket long, kind int, part long, blob binary")
+
+
+class Bucket:
+    """The tables of one bucket and its tokens."""
+
+    def __init__(self, held: list[tuple[int, int, bytes]], model: Model):
+        lay, base = model.lay, 0
+        u, v, w, m, docs, self.names, self.sizes = [], [], [], [], [], [], []
+        for kind, _, blob in held:
+            if kind == 5:
+                name, vc, vr, c0, c1, c2, wc, wr, uc, ur, m0, m1, m2, doc = load(blob)
+                v.append(np.repeat(lay.words(vc, vr), full(c0, c1, c2)))
+                w.append(lay.words(wc, wr))
+                u.append(lay.words(uc, ur))
+                m.append(full(m0, m1, m2).astype(np.uint32))
+                docs.append(doc.astype(np.uint32) + np.uint32(2 * base))
+                self.names.append(name[0])
+                self.sizes.append(int(doc.max() >> 1) + 1)
+                base += self.sizes[-1]
+        u, v, w, m, d = (np.concatenate(x) for x in (u, v, w, m, docs))
+        teach = (d & np.uint32(1)).astype(bool)
+        self.doc, self.docs = d >> np.uint32(1), base
+        rows = np.repeat(np.arange(len(u), dtype=np.uint32), m)
+        own = np.bincount(rows[teach], minlength=len(u)).astype(np.int64)
+        # trigrams by context
+        order = np.lexsort((w, u, v))
+        u, v, w = u[order], v[order], w[order]
+        first = starts(v, u, w)
+        self.n3 = np.add.reduceat(own[order], first)
+        back = np.empty(len(order), np.uint32)
+        back[order] = np.repeat(np.arange(len(first), dtype=np.uint32), runs(first, len(order)))
+        self.token = back[rows]
+        del rows, own, back, order
+        self.u, self.v, self.w = u[first], v[first], w[first]
+        # words
+        words, word = np.unique(self.w, return_inverse=True)
+        counts = [full(*load(x)) for kind, _, x in held if kind == 0]
+        self.c1 = np.concatenate(counts)[word]
+        # bigrams
+        by = np.lexsort((self.w, self.v))
+        pair_first = starts(self.v[by], self.w[by])
+        self.pair = np.empty(len(by), np.int64)
+        self.pair[by] = np.repeat(np.arange(len(pair_first)), runs(pair_first, len(by)))
+        self.n2 = np.add.reduceat(self.n3[by], pair_first)
+        some = by[pair_first]
+        self.v2, self.w2, self.p1 = self.v[some], self.w[some], model.uni(self.c1[some])
+        self.hot = lay.hot_place(self.v2)
+        self.owned = np.zeros(len(some), bool)
+        hot = np.flatnonzero(self.hot >= 0)
+        if len(hot):
+            sent = [load(x) for kind, _, x in held if kind == 1]
+            _, place = np.unique(pair_hash(self.v2[hot], self.w2[hot]), return_inverse=True)
+            self.n2[hot] = np.concatenate([full(*x[:3]) for x in sent])[place]
+            self.owned[hot] = np.concatenate([np.unpackbits(x[3], count=len(x[0])) for x in sent]).astype(bool)[place]
+        self.evaluate(model)
+
+    def evaluate(self, model: Model) -> None:
+        """log10 probabilities of all trigrams, by recursion; behind hot words what backs off to
+        the unigrams still lacks its context's share (``rest``)."""
+        # bigrams: (context, word) and (context) tables
+        first = starts(self.v2)
+        self.of2 = of = np.repeat(np.arange(len(first)), runs(first, len(self.v2)))
+        seen = self.n2 > 0
+        total = np.add.reduceat(self.n2, first)
+        few = np.stack([np.bincount(of[self.n2 == r], minlength=len(first)) for r in range(1, CUT + 1)])
+        self.hot2 = hot = self.hot[first]
+        is_hot = hot >= 0
+        if is_hot.any():
+            total[is_hot], few[:, is_hot] = model.hot_total[hot[is_hot]], model.hot_few[hot[is_hot]].T
+        plus = (few.sum(axis=0) == 0) & (total > 0)
+        size = np.maximum(total + plus, 1)
+        left = 1 - np.bincount(of[seen], weights=self.p1[seen], minlength=len(first))
+        left[is_hot] = 1
+        r = np.arange(1, CUT + 1)
+        mass = (((1 - model.d[0]) * r) @ few + plus) / size
+        self.alpha2 = np.where(total > 0, mass / left, 1.0)
+        self.p2 = np.where(seen, discounted(self.n2, model.d[0]) / size[of], self.alpha2[of] * self.p1)
+        rest2 = ~seen & (is_hot & (total > 0))[of]
+        # trigrams
+        first = starts(self.v, self.u)
+        self.of3 = of = np.repeat(np.arange(len(first)), runs(first, len(self.v)))
+        seen = self.n3 > 0
+        total = np.add.reduceat(self.n3, first)
+        few = np.stack([np.bincount(of[self.n3 == r], minlength=len(first)) for r in range(1, CUT + 1)])
+        plus = (few.sum(axis=0) == 0) & (total > 0)
+        size = np.maximum(total + plus, 1)
+        lower = self.p2[self.pair]
+        left = 1 - np.bincount(of[seen], weights=lower[seen], minlength=len(first))
+        mass = (((1 - model.d[1]) * r) @ few + plus) / size
+        self.alpha3 = np.where(total > 0, mass / left, 1.0)
+        self.p3 = np.where(seen, discounted(self.n3, model.d[1]) / size[of], self.alpha3[of] * lower)
+        self.rest = np.where(~seen & rest2[self.pair], self.hot[self.pair], -1)
+
+    def scores(self, model: Model) -> bytes:
+        """Of the documents of each batch that the bucket has tokens of: place, score, base score,
+        known and all tokens; and the places and hot words of tokens that lack a share."""
+        add = lambda x: np.bincount(self.doc, weights=x[self.token], minlength=self.docs)
+        tokens = np.bincount(self.doc, minlength=self.docs)
+        here = np.flatnonzero(tokens)
+        batch = np.repeat(np.arange(len(self.names)), self.sizes)[here]
+        local = here - (np.cumsum(self.sizes) - self.sizes)[batch]
+        lack = np.flatnonzero(self.rest[self.token] >= 0)
+        place = np.cumsum(tokens > 0) - 1
+        return dump(np.array(self.names, np.uint64), np.bincount(batch, minlength=len(self.names)), small(local), add(np.log10(self.p3))[here], add(model.uni.base(self.c1))[here], small(add(self.c1 > 0)[here].astype(np.int64)), small(tokens[here]), small(place[self.doc[lack]]), small(self.rest[self.token[lack]]))
+
+    def shares(self, hot: int) -> np.ndarray:
+        """For each hot word the unigram probability of the words seen behind it that the bucket owns."""
+        own = self.owned & (self.n2 > 0)
+        return np.bincount(self.hot[own], weights=self.p1[own], minlength=hot)
+
+
+def finish(blob: bytes, left: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(batch, blob) with place, score, base score, known and all tokens of the documents of
-    each batch that the bucket has tokens of."""
-    names, many, local, score, plain, known, tokens, *rest = load(blob)
-    low, (doc, which), few, (total, left, plus) = rest[:CUT], rest[CUT : CUT + 2], rest[CUT + 2 : 2 * CUT + 2], rest[2 * CUT + 2 :]
-    score = score + sum(np.log10(d[r]) * low[r] for r in range(CUT))
-    mass = sum((1 - d[r]) * (r + 1) * few[r].astype(np.float64) for r in range(CUT)) + plus
-    alpha = np.log10(mass / total / left)
-    score = score + np.bincount(doc, weights=alpha[which], minlength=len(score))
+    each batch that the bucket has tokens of. ``left``: log10 of what hot words leave over."""
+    names, many, local, score, plain, known, tokens, doc, hot = load(blob)
+    score = score - np.bincount(doc, weights=left[hot], minlength=len(score)) if len(doc) else score
     ends = np.cumsum(many)
     for name, a, b in zip(names.tolist(), ends - many, ends):
         yield name, dump(np.array([name], np.uint64), local[a:b], score[a:b], plain[a:b], small(known[a:b]), small(tokens[a:b]))
 
 
+def _prepared(docs: DataFrame, held) -> tuple[DataFrame, DataFrame]:
+    """One key for equal rows (they have equal scores, and their sums are shared out): the rows
+    with their ids, and (k, train, text)."""
+    held = held_out() if held is None else held
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"), held.alias("held_out"))
+    return rows, rows.select("k", (~F.col("held_out")).alias("train"), "text")
+
+
+def train(plain: DataFrame, buckets: int, size: int) -> tuple[Model, DataFrame]:
+    """What all buckets share, and the word table. ``size``: bytes of the input."""
+    lay = layout_of(plain, buckets, size)
+    few = counts_of_counts(plain, buckets)
+    release(plain.sparkSession)
+    table = written(word_table(plain, lay), "words")
+    release(plain.sparkSession)
+    sums = Sums(len(lay.hot))
+    n = np.zeros(sums.size, np.int64)
+    parts = table.filter("bucket = -1").select(F.explode(F.arrays_zip("at", "n")).alias("x")).groupBy("x.at").agg(F.sum("x.n").alias("n"))
+    for r in parts.collect():  # a few numbers for each hot word
+        n[r["at"]] = r.n
+    hot_total = n[sums.total].copy()
+    # the beginning is no token: it has been followed once for each end
+    begin = lay.hot_place(np.array([BEGIN]))[0]
+    if begin >= 0:
+        hot_total[begin] = plain.filter("train").count()
+    return Model(lay, Unigrams(n[: CUT + 3]), tuple(discounts(x) for x in few), hot_total, n[sums.few].reshape(-1, CUT)), table
+
+
 def score_documents(docs: DataFrame, held=None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for
     each row of ``docs``. ``held`` is a condition on doc_id: those don't teach."""
     spark = docs.sparkSession
-    held = held_out() if held is None else held
-    # one key for equal rows: they have equal scores, and their sums are shared out
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"), held.alias("held_out"))
-    plain = rows.select("k", (~F.col("held_out")).alias("train"), "text")
+    rows, plain = _prepared(docs, held)
     buckets = pieces(docs, BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = written(word_table(plain, buckets, buckets), "words")
-    release(spark)
-    stats = np.zeros(CUT + 3, np.int64)
-    found = table.filter("bucket = -1").select("blob").toLocalIterator()  # a few numbers a bucket
-    for row in found:
-        stats += load(row.blob)[0]
-    uni = Unigrams(stats)
-    both = table.filter("bucket >= 0").unionByName(pair_blobs(plain, buckets))
-    evaluated = written(by_bucket(both, buckets, lambda h: evaluate(h, uni), "kind int, numbers array<long>, blob binary", "kind"), "evaluated")
+    model, table = train(plain, buckets, estimated_bytes(docs))
+    shared = spark.sparkContext.broadcast(model)
+
+    def evaluate(held: list[tuple[int, int, bytes]], _: int) -> Iterator[pa.RecordBatch]:
+        out = [(6, blob) for kind, _, blob in held if kind == 6]
+        if any(kind == 5 for kind, _, _ in held):
+            bucket = Bucket(held, shared.value)
+            out.append((5, bucket.scores(shared.value)))
+            share = bucket.shares(len(shared.value.lay.hot))
+            at = np.flatnonzero(share)
+            out.append((7, b""))
+        none = [None] * (len(out) - 1)
+        hot = [[*none, at], [*none, share[at]]] if out[-1][0] == 7 else [[None] * len(out)] * 2
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary()), pa.array(hot[0], pa.list_(pa.int64())), pa.array(hot[1], pa.list_(pa.float64()))], names=["kind", "blob", "at", "share"])
+
+    both = table.filter("bucket >= 0").drop("at", "n").unionByName(trigram_blobs(plain, model.lay))
+    evaluated = written(by_bucket(both, buckets, evaluate, "kind int, blob binary, at array<long>, share array<double>", "kind", "part"), "evaluated")
     del both
     forget(table)
     release(spark)
-    n = [r.n for r in evaluated.select(F.posexplode("numbers").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).orderBy("r").collect()]
-    d = discounts(np.array(n)) if n else np.ones(CUT)
+    left = np.ones(len(model.lay.hot))
+    shares = evaluated.filter("kind = 7").select(F.explode(F.arrays_zip("at", "share")).alias("x")).groupBy("x.at").agg(F.sum("x.share").alias("share"))
+    for r in shares.collect():  # a number for each hot word
+        left[r["at"]] -= r.share
+    left = np.log10(np.maximum(left, 1e-300))
     groups = max(1, buckets // 2)
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for kind, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = list(finish(blob, d)) if kind == 1 else [(int(load(blob)[0][0]), blob)]
+                found = list(finish(blob, left)) if kind == 5 else [(int(load(blob)[0][0]), blob)]
                 yield pa.RecordBatch.from_arrays([pa.array([name % groups for name, _ in found], pa.int64()), pa.array([kind] * len(found), pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "kind", "blob"])
 
-    def total(held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        keys = {int(name[0]): k for name, k in (load(x) for kind, x in held if kind == 2)}
+    def total(held: list[tuple[int, bytes]], _: int) -> Iterator[pa.RecordBatch]:
+        keys = {int(name[0]): k for name, k in (load(x) for kind, x in held if kind == 6)}
         sums = {name: np.zeros((4, len(k))) for name, k in keys.items()}
         for kind, blob in held:
-            if kind == 1:
+            if kind == 5:
                 name, local, *cols = load(blob)
                 for row, c in zip(sums[int(name[0])], cols):
                     row[local] += c
         for name, k in keys.items():
             yield pa.RecordBatch.from_arrays([pa.array(k), *map(pa.array, sums[name])], names=["k", "score", "base_score", "n_known", "n_tokens"])
 
-    parts = by_bucket(evaluated.select("kind", "blob").mapInArrow(final, "bucket long, kind int, blob binary"), groups, total, "k long, score double, base_score double, n_known double, n_tokens double", "kind")
+    parts = by_bucket(evaluated.filter("kind < 7").select("kind", "blob").mapInArrow(final, "bucket long, kind int, blob binary"), groups, total, "k long, score double, base_score double, n_known double, n_tokens double", "kind")
     sums = parts.groupBy("k").agg(*(F.sum(c).alias(c) for c in ("score", "base_score", "n_known", "n_tokens")))
     keyed = rows.select("doc_id", "k", "held_out")
     times = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("times"), F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"))
     whole = lambda c: F.round(F.col(c) / F.col("times")).cast("long").alias(c)
-    one = times.join(sums, "k").select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", whole("n_tokens"), whole("n_known"), F.lit(uni.total).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("times")).alias("base_score"), (F.col("score") / F.col("times")).alias("score"), "times")
+    one = times.join(sums, "k").select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", whole("n_tokens"), whole("n_known"), F.lit(model.uni.total).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("times")).alias("base_score"), (F.col("score") / F.col("times")).alias("score"), "times")
     return one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("copy", "times")
 
 
