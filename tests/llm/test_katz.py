@@ -107,3 +107,28 @@ def test_packed_hashes_come_back():
     assert np.array_equal(katz.unsteps(katz.steps(h)), h) and len(katz.unsteps(katz.steps(h[:0]))) == 0
     parts = katz.part_of(h, 7)
     assert (np.diff(parts.astype(int)) >= 0).all() and set(parts.tolist()) == set(range(7))
+
+
+def test_stored_tables_score_texts_alike_and_sum_to_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 1500)
+    monkeypatch.setattr(katz, "FREQUENT", 12)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join("the" if rng.random() < 0.3 else f"w{min(29, int(rng.exponential(6)))}" for _ in range(rng.integers(0, 40)))) for i in range(120)]
+    rows += [(500, "new the words the"), (500, "new the words the"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = str(tmp_path / "model")
+    katz.write_tables(df, folder)
+    want = sorted((str(r.doc_id), round(r.score, 6)) for r in katz.score_documents(df).collect())
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in katz.score_texts(df, folder).collect()) == want
+    model = spark.read.parquet(folder).collect()
+    p1 = {r.w: r.p for r in model if r["order"] == 1}
+    assert abs(sum(p1.values()) - 1) < 1e-9
+    p2 = {}
+    for r in model:
+        if r["order"] == 2 and r.w is not None:
+            assert (r.v, r.w) not in p2
+            p2[(r.v, r.w)] = r.p
+    weights = {r.v: r.p for r in model if r["order"] == 2 and r.w is None}
+    for v, a in weights.items():
+        own = {w for x, w in p2 if x == v}
+        assert abs(sum(p2[(v, w)] for w in own) + a * sum(p for w, p in p1.items() if w not in own) - 1) < 1e-9

@@ -21,6 +21,12 @@ counts of such hot words come with the word counts, and what they leave over is
 from the pieces. Buckets grow in number with the input, not in size; only tokens after one
 and the same frequent pair of words stay together.
 
+:func:`write_tables` stores the model as rows of (context, word, probability) and (context,
+backoff weight), partitioned by order, and :func:`score_texts` evaluates any texts against
+the stored tables, order by order. :func:`score_documents`, for the documents that the model
+is of, does both where a bucket's tables are built: storing them as well would go beyond
+the disk that op1 may use (README).
+
 Defined cases: null text is empty text, which has the end token only; without training
 documents every score and base score is 0 (N = V = 0); null doc_id counts as training;
 repeated rows each count and each give a row; other columns are ignored.
@@ -43,7 +49,7 @@ from textloom.scratch import forget, release, written
 from textloom.sizes import estimated_bytes, pieces
 
 CUT = 5
-BUCKET_BYTES = 7 << 20
+BUCKET_BYTES = 5 << 20
 PACK_BYTES = 8 << 20
 #: Words with codes of two bytes, and the bytes of text they are found in.
 FREQUENT, SAMPLE_BYTES = 60_000, 32 << 20
@@ -637,6 +643,81 @@ def score_documents(docs: DataFrame, held=None) -> DataFrame:
     return one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("copy", "times")
 
 
+def write_tables(docs: DataFrame, folder: str, held=None) -> None:
+    """Stores the model of ``docs`` under ``folder``, partitioned by ``order``: rows with a word
+    have its discounted probability ``p`` in the context (u, v), those without the context's
+    backoff weight ``p``. Order 1 has no context; its row without a word is of unknown words."""
+    spark = docs.sparkSession
+    _, plain = _prepared(docs, held)
+    buckets = pieces(docs, BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    model, table = train(plain, buckets, estimated_bytes(docs))
+    shared = spark.sparkContext.broadcast(model)
+    names, kinds = ("order", "u", "v", "w", "p", "hot"), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+
+    def rows(held: list[tuple[int, int, bytes]], _: int) -> Iterator[pa.RecordBatch]:
+        if not any(kind == 5 for kind, _, _ in held):
+            return
+        b, out = Bucket(held, shared.value), []
+        seen = b.n3 > 0
+        out.append((3, b.u[seen], b.v[seen], b.w[seen], b.p3[seen], None))
+        first = starts(b.v, b.u)
+        some = np.bincount(b.of3[seen], minlength=len(first)) > 0
+        out.append((3, b.u[first][some], b.v[first][some], None, b.alpha3[some], None))
+        seen = (b.n2 > 0) & ((b.hot < 0) | b.owned)
+        out.append((2, None, b.v2[seen], b.w2[seen], b.p2[seen], b.hot[seen]))
+        first = starts(b.v2)
+        some = np.bincount(b.of2[b.n2 > 0], minlength=len(first)) > 0
+        # behind a hot word: what is left over, before it is shared out among words not seen
+        out.append((2, None, b.v2[first][some], None, b.alpha2[some], b.hot2[some]))
+        known = b.c1 > 0
+        w, at = np.unique(b.w[known], return_index=True)
+        out.append((1, None, None, w, shared.value.uni(b.c1[known][at]), None))
+        for order, *cols in out:
+            n = len(cols[3])
+            full_ = [np.full(n, order, np.int32), *cols]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, k) for c, k in zip(full_, kinds)], names=names)
+
+    both = table.filter("bucket >= 0").drop("at", "n").unionByName(trigram_blobs(plain, model.lay))
+    found = written(by_bucket(both, buckets, rows, "order int, u long, v long, w long, p double, hot long", "kind", "part"), "ngrams")
+    # pieces of a hot word all have its weight, and buckets their words
+    once = found.filter("order = 3 or (order = 2 and (hot < 0 or w is not null))").unionByName(found.filter("order = 1 or (order = 2 and hot >= 0 and w is null)").dropDuplicates(["order", "v", "w"]))
+    p1 = found.filter("order = 1").select("w", F.col("p").alias("p1")).dropDuplicates(["w"])
+    left = found.filter("order = 2 and hot >= 0 and w is not null").join(p1, "w").groupBy("v").agg((1 - F.sum("p1")).alias("left"))
+    shared_out = once.join(F.broadcast(left), "v", "left")  # a row for each hot word
+    p = F.when(F.col("w").isNull() & (F.col("hot") >= 0), F.col("p") / F.col("left")).otherwise(F.col("p"))
+    unknown = spark.createDataFrame([(1, None, None, None, model.uni.unknown)], "order int, u long, v long, w long, p double")
+    shared_out.select("order", "u", "v", "w", p.alias("p")).unionByName(unknown).write.mode("overwrite").partitionBy("order").parquet(folder)
+    forget(found)
+
+
+def score_texts(docs: DataFrame, folder: str) -> DataFrame:
+    """``docs`` with ``score``: the log10 probability of each text by the stored tables. Tokens
+    that an order doesn't have go on to the next lower one with their context's weight."""
+    spark = docs.sparkSession
+    model = spark.read.parquet(folder)
+    words = lambda n, *key: model.filter((F.col("order") == n) & F.col("w").isNotNull()).select(*key, F.col("p").alias("_p"))
+    weights = lambda n, *key: model.filter((F.col("order") == n) & F.col("w").isNull()).select(*key, F.col("p").alias("_a"))
+    unknown = float(model.filter("order = 1 and w is null").first().p)
+    keyed = docs.withColumn("_k", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = keyed.select(F.col("_k").alias("k"), F.lit(True).alias("train"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["k"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _batches(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(b.key[b.doc]), *(pa.array(x.view(np.int64)) for x in (b.u, b.v, b.w))], names=["k", "u", "v", "w"])
+
+    tokens = texts.mapInArrow(cut, "k long, u long, v long, w long").groupBy("k", "u", "v", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("log", F.lit(0.0))
+    done = []
+    for n, context in ((3, ("u", "v")), (2, ("v",))):
+        met = tokens.join(words(n, *context, "w"), [*context, "w"], "left")
+        done.append(met.filter("_p is not null").select("k", (F.col("n") * (F.col("log") + F.log10("_p"))).alias("s")))
+        rest = met.filter("_p is null").drop("_p").join(weights(n, *context), list(context), "left")
+        tokens = rest.select("k", "u", "v", "w", "n", (F.col("log") + F.coalesce(F.log10("_a"), F.lit(0.0))).alias("log"))
+    last = tokens.join(words(1, "w"), "w", "left")
+    done.append(last.select("k", (F.col("n") * (F.col("log") + F.log10(F.coalesce("_p", F.lit(unknown))))).alias("s")))
+    sums = done[0].union(done[1]).union(done[2]).groupBy("k").agg(F.sum("s").alias("score"))
+    return keyed.join(sums, F.col("_k") == F.col("k"), "left").drop("_k", "k")
+
+
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
