@@ -152,7 +152,9 @@ def build_index(vectors: DataFrame, k: int, degree: int = DEGREE, alpha: float =
     shards = F.greatest(F.lit(1), F.least(F.lit(SPREAD), F.round(n / SHARD)), F.ceil(n / MOST))
     counts = own.groupBy("width").agg(shards.cast("int").alias("shards"))
     dealt = own.join(counts, "width").withColumn("shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int"))
-    return dealt.select("embedding", "ids", "width", "shard").groupBy("width", "shard").applyInArrow(run, kind)
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # by number: a graph takes long for its bytes, so small partitions mustn't be joined
+    return dealt.select("embedding", "ids", "width", "shard").repartition(parts, "width", "shard").groupBy("width", "shard").applyInArrow(run, kind)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
