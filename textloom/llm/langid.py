@@ -29,6 +29,8 @@ HIDDEN = 6
 RUN = 128
 SAMPLE = 300
 STEPS, BATCH, TRAIN_RUN, RATE = 450, 192, 64, 0.02
+#: Parts of a language in which its sample is sought first.
+SALTS = 32
 #: Columns of runs worked on together.
 COLUMNS = 2048
 #: Letters are what Unicode calls so, here as in Spark's expressions.
@@ -174,8 +176,10 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, seed: int = 9) -> Networ
     """A network for the values of ``lang``; ``learn`` is a condition on doc_id."""
     order = F.xxhash64(F.lit(seed), "doc_id")
     marked = docs.filter(F.col("lang").isNotNull() & learn & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select("doc_id", F.col("lang").cast("string").alias("lang"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    few = F.broadcast(marked.withColumn("i", first).filter(F.col("i") <= sample).select("doc_id", "lang").distinct())  # sample rows a language at most
+    # the first of each language, from the first of each of SALTS parts of it
+    first = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(order, "doc_id"))
+    some = marked.withColumn("salt", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(SALTS))).withColumn("i", first("salt")).filter(F.col("i") <= sample)
+    few = F.broadcast(some.withColumn("i", first()).filter(F.col("i") <= sample).select("doc_id", "lang").distinct())  # sample rows a language at most
     found = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     rows = found.join(few, found.doc_id.eqNullSafe(few.doc_id) & (found.lang == few.lang)).filter("text <> ''").select("text", found.lang.alias("lang")).orderBy(F.xxhash64(F.lit(seed), "text"), "lang").toArrow()
     langs = rows.column("lang").to_pylist()
