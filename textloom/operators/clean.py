@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.config import DEFAULT, PipelineConfig
@@ -87,6 +87,11 @@ def limit_per_source(docs: DataFrame, n: int) -> DataFrame:
     return docs.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def token_budgets(spark: SparkSession, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """source, token_budget of the configured sources, as budget_cut() takes them."""
+    return spark.createDataFrame([(s.name, s.token_budget(cfg.token_budget_b)) for s in cfg.sources], "source string, token_budget long")
+
+
 def budget_cut(docs: DataFrame, budgets: DataFrame | int, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Rows of whole chunks of ``cfg.chunk_docs``, up to the chunk in which a source's
     estimated tokens reach its budget. ``budgets``: source, token_budget, or one number.

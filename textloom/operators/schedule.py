@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textloom.operators.rows import running
+from textloom.scratch import written
 from textloom.config import DEFAULT, EOS_ID, PipelineConfig
 
 
@@ -72,10 +74,11 @@ def retain_latest(checkpoints: DataFrame, keep: int = DEFAULT.keep_checkpoints,
 
 
 def throughput(logs: DataFrame, max_steps: int, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """step, s_per_step, tokens_per_s, eta_s. ``logs``: step, seconds (since the start)."""
-    w = Window.orderBy("step")
-    per = (F.col("seconds") - F.lag("seconds").over(w)) / (F.col("step") - F.lag("step").over(w))
-    rows = logs.withColumn("per", per).filter(F.col("per").isNotNull())
+    """step, s_per_step, tokens_per_s, eta_s. ``logs``: step, seconds (since the start). Lines
+    are numbered in ranges and each meets the one before it by its number."""
+    lines = written(running(logs.select("step", "seconds", F.lit(0).alias("_none")), [], ["step", "seconds"], "_none"), "log-lines")
+    past = lines.select((F.col("_n") + 1).alias("_n"), F.col("step").alias("step0"), F.col("seconds").alias("seconds0"))
+    rows = lines.join(past, "_n").withColumn("per", (F.col("seconds") - F.col("seconds0")) / (F.col("step") - F.col("step0")))
     return rows.select("step", F.round("per", 6).alias("s_per_step"), F.round(cfg.tokens_per_step / F.col("per"), 2).alias("tokens_per_s"), F.round((max_steps - F.col("step")) * F.col("per"), 2).alias("eta_s"))
 
 

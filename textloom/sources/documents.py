@@ -79,6 +79,12 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     return not_blank(spark.read.text(folder).select("source", "shard", F.col("value").alias("text")))
 
 
+def list_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """source, shard, files of what :func:`write_shards` wrote."""
+    files = spark.read.text(folder).select("source", "shard", F.input_file_name().alias("file")).distinct()
+    return files.groupBy("source", "shard").agg(F.count(F.lit(1)).alias("files"))
+
+
 def write_stats(report: DataFrame, folder: str) -> None:
     report.write.mode("overwrite").json(folder)
 
