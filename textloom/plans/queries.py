@@ -14,6 +14,7 @@ from textloom.config import DEFAULT
 from textloom.functions import text as T
 from textloom.operators import clean, decontam, dedup, pack, schedule, tokenizer, windows
 from textloom.operators.rows import running
+from textloom.sizes import spread
 from textloom.sources import documents
 from textloom.sources.documents import doc_scan, not_blank, table
 from textloom.streaming import ingest
@@ -91,7 +92,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def _digest(c="tokens", by=","):

@@ -22,3 +22,13 @@ def estimated_bytes(df: DataFrame) -> int:
 def pieces(df: DataFrame, bytes_each: int, least: int = 1, most: int = 1 << 20) -> int:
     """Into how many pieces of ``bytes_each`` to deal out ``df``."""
     return max(least, min(most, -(-estimated_bytes(df) // bytes_each)))
+
+
+def spread(df: DataFrame, least: int = 1 << 20, most_each: int = 8 << 20) -> DataFrame:
+    """``df`` dealt to all cores if it is a small scan of fewer files than there are cores: a
+    file's row group is one task, however much is to be done with its rows. Larger scans
+    stay as they are, so nothing that grows is shuffled for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not least <= estimated_bytes(df) <= most_each * cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
