@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
+from textloom.sizes import spread
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -247,7 +248,7 @@ def decode_ids(df: DataFrame, ranks: bytes, pattern: str, column: str = "ids") -
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return encode_documents(docs, read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
 

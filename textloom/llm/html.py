@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.rows import running
 from textloom.scratch import written
+from textloom.sizes import spread
 
 #: Neighbours looked at on either side; pages of a host in one piece.
 REACH, PIECE = 4, 256
@@ -359,7 +360,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 QUERIES = {"op8_html_extraction": op8_html_extraction}

@@ -46,11 +46,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm import _text
 from textloom.scratch import forget, release, written
-from textloom.sizes import estimated_bytes, pieces
+from textloom.sizes import estimated_bytes, pieces, spread
 
 CUT = 5
-BUCKET_BYTES = 5 << 20
-PACK_BYTES = 8 << 20
+BUCKET_BYTES = 7 << 20
+PACK_BYTES = 6 << 20
 #: Words with codes of two bytes, and the bytes of text they are found in.
 FREQUENT, SAMPLE_BYTES = 60_000, 32 << 20
 #: A context word with more than 1 / (HOT * buckets) of the tokens is dealt in pieces.
@@ -719,7 +719,7 @@ def score_texts(docs: DataFrame, folder: str) -> DataFrame:
 
 
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return score_documents(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 QUERIES = {"op1_katz": op1_katz}

@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
+from textloom.sizes import spread
 
 HIDDEN = 6
 RUN = 128
 SAMPLE = 300
 STEPS, BATCH, TRAIN_RUN, RATE = 450, 192, 64, 0.02
 #: Parts of a language in which its sample is sought first.
-SALTS = 32
+SALTS = 8
 #: Columns of runs worked on together.
 COLUMNS = 2048
 #: Letters are what Unicode calls so, here as in Spark's expressions.
@@ -218,7 +219,7 @@ def _held_out():
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return predict(docs, train(docs, ~_held_out())).select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 

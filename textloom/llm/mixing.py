@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.scratch import written
-from textloom.sizes import pieces
+from textloom.sizes import pieces, spread
 
 BLOCK_WORDS = 512
 #: Fewest shards and rank buckets, and the bytes of input for which there is one more.
@@ -226,7 +226,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``taken`` sums what the shards' ranges hold of a document; first_shard is null and
     n_shards 0 if that is nothing."""
-    drawn = draw(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    drawn = draw(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
     shards = F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("draws", lambda d: d["shard"])))))
     by = drawn.groupBy("doc_id", "source", "k1", "k2", "copy", "size", "source_size", "target").agg(F.sum(taken).alias("taken"), shards.alias("n_shards"), F.min(F.array_min(F.transform("draws", lambda d: d["shard"]))).alias("first_shard"))

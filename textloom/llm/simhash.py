@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from textloom.llm import _text
 from textloom.operators.components import connected_components, smallest_labels
 from textloom.scratch import written
+from textloom.sizes import spread
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -309,7 +310,7 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle_words: int = SHI
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import _text
-from textloom.sizes import pieces
+from textloom.sizes import pieces, spread
 
 WINDOW = 13
 GRAM = 5
@@ -330,7 +330,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return find_repeats(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}
