@@ -141,3 +141,14 @@ def test_similar_texts_in_small_blocks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id for r in simhash.keep_one(df, shingle_words=5, jaccard=0.8).collect()}
     assert got == brute_kept(df.collect())
+
+
+def test_a_very_long_text_and_clashing_columns(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(200_000))
+    rows = [(1, long, 5, "a"), (2, long + " tail", 6, "b"), (3, "other words here now", 7, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp long, component_id string")
+    got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert got[1][1] == got[2][1] == 1 and got[3][1] == 3
+    assert got[3][0] == fp("other words here now") and got[1][0] == simhash.fingerprint(long.encode())
+    kept = simhash.keep_one(df, shingle_words=5, jaccard=0.8)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
