@@ -85,3 +85,26 @@ def test_budget_keeps_the_crossing_chunk(spark):
     assert clean.budget_cut(df, 31, cfg).count() == 6
     budgets = spark.createDataFrame([("s", 1000)], "source string, token_budget long")
     assert clean.budget_cut(df, budgets, cfg).count() == 10
+
+
+def test_a_language_detector_decides_where_there_is_one(spark, monkeypatch):
+    import sys
+    import types
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rule = {r.doc_id: r.reason for r in clean.clean_documents(docs).select("doc_id", "reason").collect()}
+    # none is installed here, so the column gives what the rule gives
+    assert {r.doc_id: r.reason for r in clean.clean_documents(docs, is_english=clean.detected_english()).select("doc_id", "reason").collect()} == rule
+
+    class Unsure(Exception):
+        pass
+
+    def detect(text):
+        if "?" in text:
+            raise Unsure
+        return "en" if "the" in text else "de"
+
+    fake = types.SimpleNamespace(detect=detect, LangDetectException=Unsure, DetectorFactory=types.SimpleNamespace(seed=None))
+    monkeypatch.setitem(sys.modules, "langdetect", fake)
+    assert [clean.speaks_english(t) for t in ("the house", "das Haus", "what ?", "é?", "", None)] == [True, False, True, False, False, False]
+    assert fake.DetectorFactory.seed == DEFAULT.seed

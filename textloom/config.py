@@ -17,6 +17,7 @@ class Source:
         return int(budget_b * 1e9 * self.weight)
 
 
+# The defaults below, on which the rules' results depend.
 @dataclass(frozen=True)
 class PipelineConfig:
     # budget

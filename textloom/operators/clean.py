@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +37,35 @@ def ascii_gate(text: Column, cfg: PipelineConfig = DEFAULT) -> Column:
     return T.ascii_ratio(F.substring(text, 1, cfg.language_prefix_chars)) >= cfg.min_ascii_ratio
 
 
+def speaks_english(text: str | None, cfg: PipelineConfig = DEFAULT) -> bool:
+    """A language detector's answer for a text's beginning, if one is installed and has one;
+    else that of the rule of :func:`ascii_gate`."""
+    head = (text or "")[: cfg.language_prefix_chars]
+    try:
+        import langdetect
+    except ImportError:
+        return _mostly_ascii(head, cfg)
+    langdetect.DetectorFactory.seed = cfg.seed
+    try:
+        return langdetect.detect(head) == "en"
+    except langdetect.LangDetectException:
+        return _mostly_ascii(head, cfg)
+
+
+def _mostly_ascii(head: str, cfg: PipelineConfig) -> bool:
+    return bool(head) and len(head.encode("ascii", "ignore")) / len(head) >= cfg.min_ascii_ratio
+
+
+def detected_english(cfg: PipelineConfig = DEFAULT) -> Callable[[Column], Column]:
+    """For ``clean_documents(is_english=...)``: :func:`speaks_english` in Arrow batches."""
+
+    @F.pandas_udf("boolean")
+    def detect(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: speaks_english(t, cfg))
+
+    return detect
+
+
 def clean_documents(docs: DataFrame, cfg: PipelineConfig = DEFAULT, column: str = "text", is_english: Callable[[Column], Column] | None = None) -> DataFrame:
     """``docs`` with ``reason`` and ``clean`` (the cleaned text of kept rows, else empty).
 

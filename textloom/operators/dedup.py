@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from textloom.config import DEFAULT, PipelineConfig
 from textloom.functions import text as T
+from textloom.functions.hashing import MULTIPLIER, ngram_hashes
 from textloom.operators.components import connected_components
 from textloom.operators.rows import KEYS, attach, pick, row_keys
 from textloom.scratch import written
 
 #: Portable hashes are below this prime, so a * h + b stays within a long.
 PRIME = 2147483647
-MULTIPLIER = 1000003
+#: Parts in which the members of a bucket, and the links to its first document, are joined.
+SALTS = 16
 
 
 def scope_key(scope: str) -> Column:
@@ -133,21 +135,19 @@ def minhash(docs: DataFrame, cfg: PipelineConfig = DEFAULT, zeros: bool = False)
     return _signatures(docs, lambda w: portable_signature(w, cfg), [0] * cfg.n_perm if zeros else None)
 
 
+def compat_permutations(cfg: PipelineConfig = DEFAULT) -> tuple[np.ndarray, np.ndarray]:
+    """a and b of each permutation in wrapping arithmetic."""
+    rng = np.random.default_rng(cfg.seed)
+    return tuple(rng.integers(low, (1 << 61) - 1, cfg.n_perm, dtype=np.uint64) for low in (1, 0))
+
+
 def compat_signature(words: list[str], cfg: PipelineConfig = DEFAULT) -> np.ndarray | None:
     """The signature in wrapping 64-bit arithmetic; None below ``shingle_words`` words."""
-    import zlib
-
     k = cfg.shingle_words
     if len(words) < k:
         return None
-    rng = np.random.default_rng(cfg.seed)
-    a = rng.integers(1, (1 << 61) - 1, cfg.n_perm, dtype=np.uint64)
-    b = rng.integers(0, (1 << 61) - 1, cfg.n_perm, dtype=np.uint64)
-    w = np.fromiter((zlib.crc32(x.encode()) for x in words), np.uint64, len(words))
-    h = np.zeros(len(w) - k + 1, np.uint64)
-    for j in range(k):
-        h = (h * np.uint64(MULTIPLIER) + w[j : len(w) - k + 1 + j]) & np.uint64(0xFFFFFFFF)
-    h = np.unique(h)[: cfg.max_shingles]
+    a, b = compat_permutations(cfg)
+    h = ngram_hashes(words, k, 32)[: cfg.max_shingles]
     least = np.full(cfg.n_perm, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(h), 256):
         with np.errstate(over="ignore"):
@@ -176,12 +176,16 @@ def lsh_pairs(signed: DataFrame, cfg: PipelineConfig = DEFAULT, keys: tuple[str,
     r = cfg.rows_per_band
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(cfg.n_bands - 1)), lambda b: F.struct(b.alias("band"), F.array_join(F.slice("sig", b * r + 1, r), ",").alias("key"))))
     rows = signed.select("doc_id", *keys, band.alias("b")).select("doc_id", *keys, "b.band", "b.key")
-    buckets = lsh_buckets(signed, cfg, keys).drop("n")
-    star = rows.join(buckets, [*keys, "band", "key"]).filter("doc_id <> rep").select("rep", "doc_id").distinct()
-    left = signed.select(F.col("doc_id").alias("rep"), F.col("sig").alias("sig_a"))
+    salts = F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    # a bucket and its first document go to all parts, so that large buckets are split
+    buckets = lsh_buckets(signed, cfg, keys).drop("n").select("*", salts)
+    star = rows.withColumn("salt", salt).join(buckets, [*keys, "band", "key", "salt"]).filter("doc_id <> rep").select("rep", "doc_id").distinct()
+    first = signed.join(star.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    left = first.select(F.col("doc_id").alias("rep"), F.col("sig").alias("sig_a"), salts)
     right = signed.select("doc_id", F.col("sig").alias("sig_b"))
     agree = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    both = star.join(right, "doc_id").join(left, "rep").withColumn("agree", agree)
+    both = star.join(right, "doc_id").withColumn("salt", salt).join(left, ["rep", "salt"]).withColumn("agree", agree)
     return both.filter(F.col("agree") / cfg.n_perm >= cfg.jaccard).select(F.col("rep").alias("rep_id"), "doc_id", "agree")
 
 

@@ -341,9 +341,16 @@ def _(spark, d):
     return dedup.minhash(_docs(spark, d)).select("doc_id", F.posexplode("sig").alias("perm", "val"))
 
 
-@query("minhash_compat")
+_COMPAT = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(zip(*dedup.compat_permutations())))
+
+
+@query("minhash_compat", f"""WITH {_CRC}, g AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(h) - 3), lambda i: list_reduce(list_slice(h, i, i + 4), lambda a, x: (a * 1000003 + x) & 4294967295)))) AS g FROM dh WHERE len(h) >= 5),
+perm(perm, a, b) AS (VALUES {_COMPAT}), x AS (SELECT doc_id, unnest(list_slice(g, 1, 4096))::HUGEINT AS h FROM g),
+m AS (SELECT doc_id, perm, (min((a::HUGEINT * h + b) % 18446744073709551616 % 2305843009213693951) % 4294967296)::BIGINT AS v FROM x, perm GROUP BY ALL),
+s AS (SELECT doc_id, string_agg(v, ',' ORDER BY perm) AS s FROM m GROUP BY doc_id)
+SELECT doc_id, md5(coalesce(s, '{','.join(['0'] * 64)}')) AS digest FROM documents LEFT JOIN s USING (doc_id)""")
 def _(spark, d):
-    return dedup.minhash_compat(_docs(spark, d))
+    return dedup.minhash_compat(_docs(spark, d)).select("doc_id", _digest("sig"))
 
 
 @query("minhash_all", f"WITH {_SIG}, s AS (SELECT doc_id, string_agg(val, ',' ORDER BY perm) AS s FROM sig GROUP BY doc_id) SELECT doc_id, md5(coalesce(s, '{','.join(['0'] * 64)}')) AS digest FROM documents LEFT JOIN s USING (doc_id)")
@@ -505,6 +512,15 @@ def _(spark, d):
     return back.select("doc_id", (F.col("decoded") == F.col("text")).alias("same"))
 
 
+@query("tokenizer_file", "SELECT * FROM (VALUES ('loads', true), ('specials', true), ('round_trip', true)) t(name, ok)")
+def _(spark, d):
+    merges, path = _merges(spark, d), f"{_folder(spark, 'tokenizer')}/tokenizer.json"
+    tokenizer.save_tokenizer(spark, merges, path)
+    back = tokenizer.load_tokenizer(spark, path)
+    ok = {"loads": back == merges} | tokenizer.validate_tokenizer(back)
+    return spark.createDataFrame([(k, ok[k]) for k in ("loads", "specials", "round_trip")], "name string, ok boolean")
+
+
 def _counted(spark, d):
     return _docs(spark, d).select("source", F.length("text").alias("chars"), F.size(T.words(F.col("text"))).alias("tokens"))
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,9 +41,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if not _ours:
+        atexit.register(_clear)
+    _ours.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables written by this session that weren't forgotten.
+_ours: list[str] = []
+
+
+def _clear() -> None:
+    """Deletes this session's tables when it ends, if its context is still there."""
+    sc = SparkContext._active_spark_context
+    with contextlib.suppress(Py4JError, OSError):  # the context may be going down
+        for path in _ours if sc is not None and sc._jsc is not None else ():
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes a table made by :func:`written` that no later plan reads."""
     spark = df.sparkSession
