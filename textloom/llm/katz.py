@@ -328,7 +328,8 @@ def by_bucket(packed: DataFrame, partitions: int, done, schema: str, *sort: str)
         if held:
             yield from done(held, bucket)
 
-    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket", *sort).mapInArrow(run, schema)
+    # by number, not by hash: no partition gets several buckets while others have none
+    return packed.repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int")).sortWithinPartitions("bucket", *sort).mapInArrow(run, schema)
 
 
 def counts_of_counts(rows: DataFrame, parts: int) -> np.ndarray:
