@@ -239,7 +239,8 @@ def marks(packed: DataFrame, partitions: int, window: int) -> DataFrame:
         if held:
             yield _spans(*extend(held, window)).select(["k1", "k2", "spans"])
 
-    return packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "k1 long, k2 long, spans binary")
+    # by number, not by hash: every partition gets as many buckets
+    return packed.repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int")).sortWithinPartitions("bucket").mapInArrow(run, "k1 long, k2 long, spans binary")
 
 
 def lost_words(n: int, spans: list[bytes] | None) -> np.ndarray:
