@@ -35,8 +35,8 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: A match that ends this near the end of a cut chunk might change with what follows.
 GUARD = 3
-#: Pre-tokens whose ids a worker remembers.
-MEMORY = 60_000
+#: Pre-tokens whose ids a worker remembers: the older half goes when the newer is full.
+MEMORY = 150_000
 #: Unicode White_Space, fixed values: what ``\s`` means to the pattern.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -71,6 +71,7 @@ class Codec(dict):
 
     def __init__(self, ranks: bytes, pattern: str):
         super().__init__()
+        self.older: dict = {}
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.piece = self.encoding._core_bpe.encode_single_piece
@@ -85,9 +86,12 @@ class Codec(dict):
         return b"".join(map(self.raw.__getitem__, ids))
 
     def __missing__(self, pre: str):
-        ids = self.piece(pre.encode())
-        found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(self) >= MEMORY:
+        found = self.older.get(pre)
+        if found is None:
+            ids = self.piece(pre.encode())
+            found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+        if len(self) >= MEMORY // 2:
+            self.older = dict(self)
             self.clear()
         self[pre] = found
         return found
