@@ -90,3 +90,15 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in langid.predict(docs, langid.train(docs, F.lit(True))).collect()] == ["und"]
     assert langid.predict(docs.limit(0), None).count() == 0
+
+
+def test_rows_that_share_or_lack_ids_teach_once(spark):
+    rows = [(None, f"the house number {i}", "en") for i in range(400)] + [(5, f"das Haus {i}", "de") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    original, langid.Network.fit = langid.Network.fit, lambda self, texts, y, **more: seen.extend(texts)
+    try:
+        langid.train(docs, F.lit(True))
+    finally:
+        langid.Network.fit = original
+    assert len(seen) == 2

@@ -10,7 +10,8 @@ all texts are labelled.
 Defined cases: null text and text without letters give ``und`` and score 0; without any
 labelled row to learn from every text does; rows with null lang teach nothing; of equally
 probable languages the first by name is taken; repeated rows each give a row; null doc_id is
-kept and learnt from; other columns are ignored.
+kept and learnt from; of rows that share doc_id and language one teaches; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -182,7 +183,10 @@ def train(docs: DataFrame, learn, sample: int = SAMPLE, seed: int = 9) -> Networ
     some = marked.withColumn("salt", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(SALTS))).withColumn("i", first("salt")).filter(F.col("i") <= sample)
     few = F.broadcast(some.withColumn("i", first()).filter(F.col("i") <= sample).select("doc_id", "lang").distinct())  # sample rows a language at most
     found = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    rows = found.join(few, found.doc_id.eqNullSafe(few.doc_id) & (found.lang == few.lang)).filter("text <> ''").select("text", found.lang.alias("lang")).orderBy(F.xxhash64(F.lit(seed), "text"), "lang").toArrow()
+    # one text with letters where rows share doc_id and language: sample texts a language at most
+    one = F.min(F.struct(F.xxhash64(F.lit(seed), "text").alias("at"), "text")).alias("one")
+    met = found.join(few, found.doc_id.eqNullSafe(few.doc_id) & (found.lang == few.lang)).filter(found.text.rlike(r"\p{L}"))
+    rows = met.groupBy(found.doc_id, found.lang).agg(one).select("one.text", "lang", "one.at").orderBy("at", "lang").select("text", "lang").toArrow()
     langs = rows.column("lang").to_pylist()
     names = sorted(set(langs))
     if not names:
