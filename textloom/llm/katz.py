@@ -420,7 +420,8 @@ def trigram_blobs(rows: DataFrame, lay: Layout) -> DataFrame:
             name = np.array([xxhash.xxh64_intdigest(b.key.tobytes())], np.uint64)
             doc = b.doc * np.uint32(2) + b.train[b.doc].astype(np.uint32)
             to = lay.bucket(b.u, b.v, lay.hot_place(b.v))
-            order = np.lexsort((b.u, b.w, b.v, to))
+            # equal trigrams stand together; what order they have in a context is no matter
+            order = np.lexsort((pair_hash(b.u, b.w), b.v, small(to)))
             u, v, w, to, doc = b.u[order], b.v[order], b.w[order], to[order], small(doc[order])
             row = starts(to, v, w, u)
             m = runs(row, len(to))
@@ -475,7 +476,8 @@ class Bucket:
         counts = [full(*load(x)) for kind, _, x in held if kind == 0]
         self.c1 = np.concatenate(counts)[word]
         # bigrams
-        by = np.lexsort((self.w, self.v))
+        context = np.cumsum(np.concatenate(([False], self.v[1:] != self.v[:-1]))).astype(np.uint64)
+        by = np.argsort((context << np.uint64(32)) | word.astype(np.uint64), kind="stable")
         pair_first = starts(self.v[by], self.w[by])
         self.pair = np.empty(len(by), np.int64)
         self.pair[by] = np.repeat(np.arange(len(pair_first)), runs(pair_first, len(by)))
