@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm import _text
 from textloom.operators.components import connected_components, smallest_labels
-from textloom.scratch import written
+from textloom.scratch import release, written
 from textloom.sizes import spread
 
 SHINGLE_WORDS = 4
@@ -270,6 +270,7 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
     """
     shapes = written(sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row")), "shapes")
     pairs = written(_stars(shapes, jaccard, distance), "pairs")
+    release(docs.sparkSession)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches):
@@ -283,6 +284,7 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
     wanted = several.join(shared, "key", "left_semi").select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = _is_row(docs.select("doc_id", "text"), shapes.join(wanted, "shape", "left_semi").select("row.*"))
     sets = written(texts.select("text").mapInArrow(grams, "shape long, grams array<long>").dropDuplicates(["shape"]), "grams")
+    release(docs.sparkSession)
     both = pairs.join(sets.select(F.col("shape").alias("b"), F.col("grams").alias("g_b")), "b").join(sets.select(F.col("shape").alias("a"), F.col("grams").alias("g_a")), "a")
     shared = both.select("a", "b", F.size(F.array_intersect("g_a", "g_b")).alias("both"), (F.size("g_a") + F.size("g_b")).alias("sum"))
     near = written(shared.filter(F.col("both") / (F.col("sum") - F.col("both")) >= jaccard).select("a", "b"), "similar")
