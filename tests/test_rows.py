@@ -173,3 +173,13 @@ def test_a_benchmark_that_cannot_be_read_is_left_out(spark, tmp_path):
     assert sorted(r["_text"] for r in found.collect()) == sorted(["test a b", "validation a b"] + ["c d e", "f g h"] * 2)
     assert len(skipped) == 1 and "two" in skipped[0]
     assert decontam
+
+
+def test_small_scans_of_few_files_are_dealt_to_all_cores(spark):
+    from textloom.sizes import spread
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tuples(spread(docs)) == tuples(docs)
+    # neither what is large nor what is tiny
+    assert spread(docs, most_each=1000) is docs and spread(docs, least=1 << 30) is docs

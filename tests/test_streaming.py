@@ -34,3 +34,12 @@ def test_rates_are_told(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert told and told[-1][0] == 200
+
+
+def test_the_query_reads_a_folder_as_it_reads_a_file(spark, tmp_path):
+    from textloom.plans.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    one, many = (sorted(map(tuple, QUERIES["stream_ingest"](spark, d).collect())) for d in ("/root/testdata/sf0.001", str(tmp_path)))
+    assert one == many and one

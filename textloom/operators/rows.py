@@ -1,4 +1,8 @@
-"""Identity of rows that may share or lack an id, and running totals in an order."""
+"""Identity of rows that may share or lack an id, and running totals in an order.
+
+Rows that are equal in every column, ids included, are told apart by a count within their
+group, which meets in one task; copies of a text under other ids don't.
+"""
 
 from __future__ import annotations
 
