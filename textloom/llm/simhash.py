@@ -205,14 +205,24 @@ def _stars(shapes: DataFrame, jaccard: float, distance: int) -> DataFrame:
     for s, (lo, width) in enumerate(segments(distance)):
         seg = ((1 << width) - 1) << lo
         keys += [(s * 64 + k, _signed(seg & ~(1 << k))) for k in range(lo, lo + width)]
-    variants = F.array(*(F.struct(F.lit(True).alias("print"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("key")) for i, m in keys))
-    bands = F.transform("bands", lambda k: F.struct(F.lit(False).alias("print"), k.alias("key")))
-    member = shapes.select("shape", "n", "fp", F.explode(F.concat(variants, bands)).alias("k")).select("shape", "n", "fp", "k.*")
-    several = member.groupBy("print", "key").agg(F.min(F.struct("shape", "n", "fp")).alias("rep"), F.max("shape").alias("other")).filter("rep.shape <> other")
-    near = ~F.col("m.print") | (F.bit_count(F.col("fp").bitwiseXOR(F.col("rep.fp"))) <= distance)
-    alike = F.least("n", "rep.n") >= F.greatest("n", "rep.n") * F.lit(jaccard) - 1e-6
-    met = (F.col("m.print") == F.col("r.print")) & (F.col("m.key") == F.col("r.key")) & (F.col("shape") != F.col("rep.shape")) & near & alike
-    return member.alias("m").join(several.alias("r"), met).select(F.col("rep.shape").alias("a"), F.col("shape").alias("b")).distinct()
+
+    def met(member: DataFrame, node: str) -> DataFrame:
+        # two numbers a row: this is what the stage shuffles most of
+        several = member.groupBy("key").agg(F.min(node).alias("rep"), F.max(node).alias("other")).filter("rep <> other").select("key", "rep")
+        return member.join(several, "key").filter(F.col(node) != F.col("rep"))
+
+    variants = F.explode(F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in keys))).alias("key")
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("rep"))) <= distance
+    near = written(met(shapes.select("fp").distinct().select("fp", variants), "fp").filter(close).select("rep", "fp").distinct(), "near-prints")
+    release(shapes.sparkSession)
+    first = written(shapes.groupBy("fp").agg(F.min("shape").alias("first")), "of-prints")
+    ends = [first.select(F.col("fp").alias(c), F.col("first").alias(x)) for c, x in (("rep", "a"), ("fp", "b"))]
+    prints = near.join(ends[0], "rep").join(ends[1], "fp").select("a", "b")
+    same = shapes.select("fp", "shape").join(first, "fp").filter("shape <> first").select(F.col("first").alias("a"), F.col("shape").alias("b"))
+    bands = met(shapes.select("shape", F.explode("bands").alias("key")), "shape").select(F.col("rep").alias("a"), F.col("shape").alias("b"))
+    sizes = [shapes.select(F.col("shape").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab"]
+    pairs = prints.union(same).union(bands).distinct().join(sizes[0], "a").join(sizes[1], "b")
+    return pairs.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(jaccard) - 1e-6).select("a", "b")
 
 
 def alike_apart(sets: list[np.ndarray], side: np.ndarray, comp: np.ndarray, jaccard: float) -> tuple[np.ndarray, np.ndarray]:
