@@ -132,3 +132,18 @@ def test_stored_tables_score_texts_alike_and_sum_to_one(spark, tmp_path, monkeyp
     for v, a in weights.items():
         own = {w for x, w in p2 if x == v}
         assert abs(sum(p2[(v, w)] for w in own) + a * sum(p for w, p in p1.items() if w not in own) - 1) < 1e-9
+
+
+def test_blobs_reach_the_workers_a_few_mb_at_a_time(spark, monkeypatch):
+    """A bucket's blobs were sent as one batch of up to 64 MB, which stood in an executor several times."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before, write = spark.conf.get(key), katz.written
+
+    def spy(df, name):
+        seen[name] = int(spark.conf.get(key).rstrip("b"))
+        return write(df, name)
+
+    monkeypatch.setattr(katz, "written", spy)
+    compare(spark, [(i, f"a b w{i % 7}") for i in range(30)])
+    assert set(seen) == {"words", "evaluated"} and max(seen.values()) <= 4 << 20
+    assert spark.conf.get(key) == before

@@ -34,6 +34,7 @@ repeated rows each count and each give a row; other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,6 +52,9 @@ from textloom.sizes import estimated_bytes, pieces, spread
 CUT = 5
 BUCKET_BYTES = 7 << 20
 PACK_BYTES = 6 << 20
+#: Bytes sent to a Python worker at once. A bucket is tens of MB of blobs, and what is sent stands
+#: in the JVM, in the worker's Arrow pool and as Python objects at the same time.
+SENT_BYTES = 4 << 20
 #: Words with codes of two bytes, and the bytes of text they are found in.
 FREQUENT, SAMPLE_BYTES = 60_000, 32 << 20
 #: A context word with more than 1 / (HOT * buckets) of the tokens is dealt in pieces.
@@ -312,6 +316,18 @@ def word_table(rows: DataFrame, lay: Layout) -> DataFrame:
     return by_bucket(packed, parts, merge, "bucket long, kind int, part long, blob binary, at array<long>, n array<long>", "kind")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile sends ``SENT_BYTES`` to a worker at once, or one longer row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(SENT_BYTES, int(before.rstrip("b")))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def by_bucket(packed: DataFrame, partitions: int, done, schema: str, *sort: str) -> DataFrame:
     """Calls ``done`` with all (sort columns, blob) of a bucket, in that order, and its number."""
 
@@ -323,10 +339,13 @@ def by_bucket(packed: DataFrame, partitions: int, done, schema: str, *sort: str)
                 if b != bucket and held:
                     yield from done(held, bucket)
                     held = []
+                    _text.give_back()
                 bucket = b
                 held.append(tuple(rest))
         if held:
             yield from done(held, bucket)
+            held = []
+            _text.give_back()
 
     # by number, not by hash: no partition gets several buckets while others have none
     return packed.repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int")).sortWithinPartitions("bucket", *sort).mapInArrow(run, schema)
@@ -445,8 +464,9 @@ class Bucket:
     def __init__(self, held: list[tuple[int, int, bytes]], model: Model):
         lay, base = model.lay, 0
         u, v, w, m, docs, self.names, self.sizes = [], [], [], [], [], [], []
-        for kind, _, blob in held:
+        for i, (kind, _, blob) in enumerate(held):
             if kind == 5:
+                held[i] = (kind, 0, b"")
                 name, vc, vr, c0, c1, c2, wc, wr, uc, ur, m0, m1, m2, doc = load(blob)
                 v.append(np.repeat(lay.words(vc, vr), full(c0, c1, c2)))
                 w.append(lay.words(wc, wr))
@@ -456,14 +476,23 @@ class Bucket:
                 self.names.append(name[0])
                 self.sizes.append(int(doc.max() >> 1) + 1)
                 base += self.sizes[-1]
-        u, v, w, m, d = (np.concatenate(x) for x in (u, v, w, m, docs))
+        # one by one: each is there twice only while it is put together
+        u = np.concatenate(u)
+        v = np.concatenate(v)
+        w = np.concatenate(w)
+        m = np.concatenate(m)
+        d = np.concatenate(docs)
+        del docs, doc
         teach = (d & np.uint32(1)).astype(bool)
         self.doc, self.docs = d >> np.uint32(1), base
         rows = np.repeat(np.arange(len(u), dtype=np.uint32), m)
         own = np.bincount(rows[teach], minlength=len(u)).astype(np.int64)
+        del d, m, teach
         # trigrams by context
         order = np.lexsort((w, u, v))
-        u, v, w = u[order], v[order], w[order]
+        u = u[order]
+        v = v[order]
+        w = w[order]
         first = starts(v, u, w)
         self.n3 = np.add.reduceat(own[order], first)
         back = np.empty(len(order), np.uint32)
@@ -471,6 +500,7 @@ class Bucket:
         self.token = back[rows]
         del rows, own, back, order
         self.u, self.v, self.w = u[first], v[first], w[first]
+        del u, v, w, first
         # words
         words, word = np.unique(self.w, return_inverse=True)
         counts = [full(*load(x)) for kind, _, x in held if kind == 0]
@@ -593,7 +623,8 @@ def score_documents(docs: DataFrame, held=None) -> DataFrame:
     spark = docs.sparkSession
     rows, plain = _prepared(docs, held)
     buckets = pieces(docs, BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    model, table = train(plain, buckets, estimated_bytes(docs))
+    with small_batches(spark):
+        model, table = train(plain, buckets, estimated_bytes(docs))
     shared = spark.sparkContext.broadcast(model)
 
     def evaluate(held: list[tuple[int, int, bytes]], _: int) -> Iterator[pa.RecordBatch]:
@@ -609,7 +640,8 @@ def score_documents(docs: DataFrame, held=None) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary()), pa.array(hot[0], pa.list_(pa.int64())), pa.array(hot[1], pa.list_(pa.float64()))], names=["kind", "blob", "at", "share"])
 
     both = table.filter("bucket >= 0").drop("at", "n").unionByName(trigram_blobs(plain, model.lay))
-    evaluated = written(by_bucket(both, buckets, evaluate, "kind int, blob binary, at array<long>, share array<double>", "kind", "part"), "evaluated")
+    with small_batches(spark):
+        evaluated = written(by_bucket(both, buckets, evaluate, "kind int, blob binary, at array<long>, share array<double>", "kind", "part"), "evaluated")
     del both
     forget(table)
     release(spark)
@@ -653,7 +685,8 @@ def write_tables(docs: DataFrame, folder: str, held=None) -> None:
     spark = docs.sparkSession
     _, plain = _prepared(docs, held)
     buckets = pieces(docs, BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    model, table = train(plain, buckets, estimated_bytes(docs))
+    with small_batches(spark):
+        model, table = train(plain, buckets, estimated_bytes(docs))
     shared = spark.sparkContext.broadcast(model)
     names, kinds = ("order", "u", "v", "w", "p", "hot"), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
 
@@ -681,7 +714,8 @@ def write_tables(docs: DataFrame, folder: str, held=None) -> None:
             yield pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, k) for c, k in zip(full_, kinds)], names=names)
 
     both = table.filter("bucket >= 0").drop("at", "n").unionByName(trigram_blobs(plain, model.lay))
-    found = written(by_bucket(both, buckets, rows, "order int, u long, v long, w long, p double, hot long", "kind", "part"), "ngrams")
+    with small_batches(spark):
+        found = written(by_bucket(both, buckets, rows, "order int, u long, v long, w long, p double, hot long", "kind", "part"), "ngrams")
     # pieces of a hot word all have its weight, and buckets their words
     once = found.filter("order = 3 or (order = 2 and (hot < 0 or w is not null))").unionByName(found.filter("order = 1 or (order = 2 and hot >= 0 and w is null)").dropDuplicates(["order", "v", "w"]))
     p1 = found.filter("order = 1").select("w", F.col("p").alias("p1")).dropDuplicates(["w"])
