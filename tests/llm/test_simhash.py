@@ -152,3 +152,24 @@ def test_a_very_long_text_and_clashing_columns(spark):
     assert got[3][0] == fp("other words here now") and got[1][0] == simhash.fingerprint(long.encode())
     kept = simhash.keep_one(df, shingle_words=5, jaccard=0.8)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_plans_of_the_stage_go_when_their_table_is_written(spark, monkeypatch):
+    """Finished plans added up in the driver: three collections for eight tables."""
+    import gc
+
+    from textloom import scratch
+
+    tables, collected, write, collect = [], [], scratch.written, gc.collect
+
+    def spy(df, name):
+        tables.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(scratch, "written", spy)
+    monkeypatch.setattr(simhash, "written", spy)
+    monkeypatch.setattr(gc, "collect", lambda *a: collected.append(1) or collect(*a))
+    rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60 + i % 2))) for i in range(20)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=5, jaccard=0.8)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
+    assert len(collected) >= len(tables) >= 8

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm import _text
 from textloom.operators.components import connected_components, smallest_labels
-from textloom.scratch import release, written
+from textloom.scratch import settled, written
 from textloom.sizes import spread
 
 SHINGLE_WORDS = 4
@@ -201,21 +201,18 @@ def _stars(shapes: DataFrame, jaccard: float, distance: int) -> DataFrame:
     Buckets are the deletion variants of the fingerprint's segments and the MinHash bands;
     a bucket of n shapes gives n - 1 candidates at most, never all pairs.
     """
-    keys = []
-    for s, (lo, width) in enumerate(segments(distance)):
-        seg = ((1 << width) - 1) << lo
-        keys += [(s * 64 + k, _signed(seg & ~(1 << k))) for k in range(lo, lo + width)]
+    masks = [_signed(((1 << width) - 1) << lo & ~(1 << k)) for lo, width in segments(distance) for k in range(lo, lo + width)]
 
     def met(member: DataFrame, node: str) -> DataFrame:
         # two numbers a row: this is what the stage shuffles most of
         several = member.groupBy("key").agg(F.min(node).alias("rep"), F.max(node).alias("other")).filter("rep <> other").select("key", "rep")
         return member.join(several, "key").filter(F.col(node) != F.col("rep"))
 
-    variants = F.explode(F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in keys))).alias("key")
+    # the masks are one literal: with an expression for each, every step of planning holds 64 of them
+    variants = shapes.select("fp").distinct().select("fp", F.posexplode(F.lit(masks)).alias("i", "mask")).select("fp", F.xxhash64("i", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("rep"))) <= distance
-    near = written(met(shapes.select("fp").distinct().select("fp", variants), "fp").filter(close).select("rep", "fp").distinct(), "near-prints")
-    release(shapes.sparkSession)
-    first = written(shapes.groupBy("fp").agg(F.min("shape").alias("first")), "of-prints")
+    near = settled(met(variants, "fp").filter(close).select("rep", "fp").distinct(), "near-prints")
+    first = settled(shapes.groupBy("fp").agg(F.min("shape").alias("first")), "of-prints")
     ends = [first.select(F.col("fp").alias(c), F.col("first").alias(x)) for c, x in (("rep", "a"), ("fp", "b"))]
     prints = near.join(ends[0], "rep").join(ends[1], "fp").select("a", "b")
     same = shapes.select("fp", "shape").join(first, "fp").filter("shape <> first").select(F.col("first").alias("a"), F.col("shape").alias("b"))
@@ -278,9 +275,8 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
     MinHash bucket that are in different components by then meet each other. All are
     compared by their whole sets.
     """
-    shapes = written(sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row")), "shapes")
-    pairs = written(_stars(shapes, jaccard, distance), "pairs")
-    release(docs.sparkSession)
+    shapes = settled(sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row")), "shapes")
+    pairs = settled(_stars(shapes, jaccard, distance), "pairs")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches):
@@ -293,12 +289,11 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
     shared = several.groupBy("key").agg(F.min("shape").alias("low"), F.max("shape").alias("high")).filter("low <> high").select("key")
     wanted = several.join(shared, "key", "left_semi").select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = _is_row(docs.select("doc_id", "text"), shapes.join(wanted, "shape", "left_semi").select("row.*"))
-    sets = written(texts.select("text").mapInArrow(grams, "shape long, grams array<long>").dropDuplicates(["shape"]), "grams")
-    release(docs.sparkSession)
+    sets = settled(texts.select("text").mapInArrow(grams, "shape long, grams array<long>").dropDuplicates(["shape"]), "grams")
     both = pairs.join(sets.select(F.col("shape").alias("b"), F.col("grams").alias("g_b")), "b").join(sets.select(F.col("shape").alias("a"), F.col("grams").alias("g_a")), "a")
     shared = both.select("a", "b", F.size(F.array_intersect("g_a", "g_b")).alias("both"), (F.size("g_a") + F.size("g_b")).alias("sum"))
-    near = written(shared.filter(F.col("both") / (F.col("sum") - F.col("both")) >= jaccard).select("a", "b"), "similar")
-    return near.union(written(_rest(shapes, sets, connected_components(near), jaccard), "similar"))
+    near = settled(shared.filter(F.col("both") / (F.col("sum") - F.col("both")) >= jaccard).select("a", "b"), "similar")
+    return near.union(settled(_rest(shapes, sets, connected_components(near), jaccard), "similar"))
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle_words: int = SHINGLE_WORDS, jaccard: float | None = None) -> DataFrame:
@@ -306,15 +301,15 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle_words: int = SHI
     last), of several the one whose text has the smallest hash. Links are fingerprints
     within ``distance`` or, with ``jaccard``, texts whose shingles are that similar."""
     if jaccard is None:
-        rows = written(fingerprints(docs, shingle_words, _text_key()), "fingerprints")
+        rows = settled(fingerprints(docs, shingle_words, _text_key()), "fingerprints")
         node, links = "fp", link_fingerprints(rows, distance)
     else:
-        rows = written(_sketches(docs, shingle_words), "sketches")
+        rows = settled(_sketches(docs, shingle_words), "sketches")
         node, links = "shape", similar_shapes(docs, rows, jaccard, distance, shingle_words)
     comp = connected_components(links)
     first = rows.groupBy(node).agg(F.min(_row()).alias("row"))
     named = first.join(comp, first[node] == comp.node, "left").select("row", F.coalesce("component", node).alias("c"))
-    kept = written(named.groupBy("c").agg(F.min("row").alias("row")).select("row.doc_id", "row.h"), "kept")
+    kept = settled(named.groupBy("c").agg(F.min("row").alias("row")).select("row.doc_id", "row.h"), "kept")
     # rows of one doc_id and one text: the first by all their columns
     order = F.xxhash64(*docs.columns)
     row = F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy(order))
