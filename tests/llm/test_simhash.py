@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from textloom.llm import simhash
 
@@ -173,3 +174,10 @@ def test_plans_of_the_stage_go_when_their_table_is_written(spark, monkeypatch):
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=5, jaccard=0.8)
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
     assert len(collected) >= len(tables) >= 8
+
+
+def test_exploded_variants_are_not_broadcast(spark):
+    """Spark sizes them as the fingerprints they come of, 64 times too low."""
+    links = simhash.link_fingerprints(spark.range(3000).select(F.xxhash64("id").alias("fp")))
+    p = links._jdf.queryExecution().executedPlan().toString()
+    assert "bit_count" in p and not [x for x in p.splitlines() if "Broadcast" in x and "bit_count" in x]

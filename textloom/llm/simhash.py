@@ -106,20 +106,19 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     # 8-byte rows become 64 variants each: keep them spread over all tasks
     distinct = fps.select("fp").distinct().repartition(parts)
     # pass 1: fingerprints that share a whole-length one-bit deletion point at its smallest
-    masks = [(k, _signed(~(1 << k) & (1 << 64) - 1)) for k in range(64)]
-    variants = F.explode(F.array(*(F.struct(F.lit(k).cast("byte").alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in masks)))
-    low = distinct.select("fp", variants.alias("d")).groupBy("d.k", "d.key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("a", "b")
-    near = written(low, "near") if distance else low.limit(0)
+    # the masks are one literal: with an expression for each, every step of planning holds 64 of them
+    masks = [_signed(~(1 << k) & (1 << 64) - 1) for k in range(64)]
+    key = F.col("fp").bitwiseAND(F.col("mask"))
+    low = distinct.select("fp", F.posexplode(F.lit(masks)).alias("k", "mask")).select("fp", F.col("k").cast("byte").alias("k"), key.alias("key")).groupBy("k", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("a", "b")
+    near = settled(low, "near") if distance else low.limit(0)
     comp = connected_components(near)
-    table = written(distinct.join(comp, distinct.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("c")), "prints")
+    table = settled(distinct.join(comp, distinct.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("c")), "prints")
     # pass 2: one-deletion variants of segments
-    keys = []
-    for s, (lo, width) in enumerate(segments(distance)):
-        seg = ((1 << width) - 1) << lo
-        keys += [(s * 64 + k, _signed(seg & ~(1 << k))) for k in range(lo, lo + width)]
-    variants = F.explode(F.array(*(F.struct(F.lit(i).cast("short").alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in keys)))
-    x = table.select("fp", "c", variants.alias("d")).select("fp", "c", "d.k", "d.key")
-    y = table.select(F.col("fp").alias("fp2"), F.col("c").alias("c2"), variants.alias("d")).select("fp2", "c2", F.col("d.k").alias("k2"), F.col("d.key").alias("key2"))
+    parted = [(((1 << width) - 1) << lo, k) for lo, width in segments(distance) for k in range(lo, lo + width)]
+    number = F.lit([64 * s + k for s, (lo, width) in enumerate(segments(distance)) for k in range(lo, lo + width)])
+    variants = F.posexplode(F.lit([_signed(seg & ~(1 << k)) for seg, k in parted])).alias("i", "mask")
+    x = table.select("fp", "c", variants).select("fp", "c", F.get(number, "i").cast("short").alias("k"), key.alias("key"))
+    y = x.select(*(F.col(c).alias(d) for c, d in (("fp", "fp2"), ("c", "c2"), ("k", "k2"), ("key", "key2"))))
     differ = F.col("fp").bitwiseXOR(F.col("fp2"))
     masks = [_signed(((1 << width) - 1) << lo) for lo, width in segments(distance)]
     # each pair is emitted once: in its first segment with at most one differing bit, and
@@ -133,7 +132,8 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             holds = holds & e
         once = once | (F.col("k").between(s * 64, s * 64 + 63) & holds)
     close = (F.col("c") < F.col("c2")) & (F.bit_count(differ) <= distance) & once
-    far = x.join(y, (x.k == y.k2) & (x.key == y.key2) & close).groupBy("c", "c2").agg(F.min("fp").alias("a")).select(F.col("c").alias("a"), F.col("c2").alias("b"))
+    # Spark sizes an explode as its input, 64 times too low here, and would broadcast it
+    far = x.join(y.hint("merge"), (x.k == y.k2) & (x.key == y.key2) & close).groupBy("c", "c2").agg(F.min("fp").alias("a")).select(F.col("c").alias("a"), F.col("c2").alias("b"))
     return near.union(far)
 
 
