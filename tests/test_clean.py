@@ -108,3 +108,19 @@ def test_a_language_detector_decides_where_there_is_one(spark, monkeypatch):
     monkeypatch.setitem(sys.modules, "langdetect", fake)
     assert [clean.speaks_english(t) for t in ("the house", "das Haus", "what ?", "é?", "", None)] == [True, False, True, False, False, False]
     assert fake.DetectorFactory.seed == DEFAULT.seed
+
+
+def test_ascii_queries_divide_as_their_sql_does(spark, tmp_path):
+    import duckdb
+
+    from textloom.plans.queries import ORACLE_SQL, QUERIES
+
+    rows = [(1, ""), (2, None), (3, "plain"), (4, "éé"), (5, "a" * 9 + "é"), (6, "a" * 89 + "é" * 11), *((7 + k, "é" * k + "a" * (5120 - k)) for k in range(60))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("ascii_ratio", "english_gate"):
+        df, rel = QUERIES[name](spark, str(tmp_path)), con.sql(ORACLE_SQL[name])
+        assert df.columns == rel.columns
+        # repr: a number that is none equals itself
+        assert sorted((tuple(map(repr, r)) for r in df.collect())) == sorted((tuple(map(repr, r)) for r in rel.fetchall())), name
