@@ -124,3 +124,17 @@ def test_ascii_queries_divide_as_their_sql_does(spark, tmp_path):
         assert df.columns == rel.columns
         # repr: a number that is none equals itself
         assert sorted((tuple(map(repr, r)) for r in df.collect())) == sorted((tuple(map(repr, r)) for r in rel.fetchall())), name
+
+
+def test_shortcuts_decide_as_the_ratios_do(spark):
+    texts = ["", "a", "é", "a" * 9 + "é", "a" * 90 + "é" * 11, "ab" * 45 + "🏛" * 10, "ab" * 45 + "🏛" * 12, "a b c d " * 9, " ".join(f"w{i % 30}" for i in range(70)), " ".join(f"w{i}" for i in range(40)) + " x y z v" * 9]
+    t, w = F.col("t"), F.split("t", " ")
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select(T.mostly_ascii(t, 0.9).alias("a"), (T.ascii_ratio(t) >= 0.9).alias("b"), T.repetitive(w, 4, 10, 0.5).alias("c"), (T.repetition_ratio(w, 4, 10) > 0.5).alias("d")).collect()
+    assert [(r.a, r.c) for r in rows] == [(r.b, r.d) for r in rows] and {r.a for r in rows} == {r.c for r in rows} == {True, False}
+
+
+def test_report_cleans_once(spark):
+    docs = spark.createDataFrame([(1, "s", VARIED), (2, "s", ""), (3, None, "")], "doc_id long, source string, text string")
+    report = clean.report(clean.clean_documents(docs))
+    assert "xxhash64" not in report._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.source or "", r.reason, r.n, r.pct) for r in report.collect()) == [("", "empty", 1, 100.0), ("TOTAL", "empty", 2, 66.67), ("TOTAL", "kept", 1, 33.33), ("s", "empty", 1, 50.0), ("s", "kept", 1, 50.0)]
