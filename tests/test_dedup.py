@@ -54,3 +54,15 @@ def test_benchmark_fields_and_thresholds(spark):
     docs = docs_of(spark, [" ".join(w[:16]), " ".join(w[:17]), " ".join(w[:12]), None])
     assert {r.doc_id: r.hits for r in decontam.contam_hits(docs, one).collect()} == {0: 4, 1: 5}
     assert [r.doc_id for r in decontam.contaminated(docs, one).collect()] == [1]
+
+
+def test_batches_are_cut_by_their_texts():
+    import pyarrow as pa
+
+    from textloom.functions.batches import text_slices
+
+    texts = ["a" * 10, None, "", "b" * 25, "é" * 3, "c" * 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
+    got = list(text_slices(iter([batch.slice(0, 0), batch, batch.slice(4)]), 1, 16))
+    assert [b.column(0).to_pylist() for b in got] == [[0, 1, 2], [3], [4, 5], [4, 5]]
+    assert [x for b in got[:3] for x in b.column(1).to_pylist()] == texts
