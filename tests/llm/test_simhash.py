@@ -181,3 +181,31 @@ def test_exploded_variants_are_not_broadcast(spark):
     links = simhash.link_fingerprints(spark.range(3000).select(F.xxhash64("id").alias("fp")))
     p = links._jdf.queryExecution().executedPlan().toString()
     assert "bit_count" in p and not [x for x in p.splitlines() if "Broadcast" in x and "bit_count" in x]
+
+
+def test_all_of_a_cluster_of_fingerprints_meet(spark):
+    """Without bands: texts whose fingerprints are close are compared with each other, not
+    only with the smallest of a bucket."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(60)] * 4
+        for k in range(25):
+            rows.append((len(rows), " ".join(base + [f"x{family}y{rng.integers(9)}z{j}" for j in range(int(rng.integers(0, 30)))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketches = simhash._sketches(docs, 5).withColumn("bands", F.array(F.col("shape"))).cache()
+    got = {(r.a, r.b) for r in simhash.similar_shapes(docs, sketches, 0.8, 4, 5).collect()}
+    shape = {r.doc_id: (r.shape, r.fp) for r in sketches.collect()}
+    root = {s: s for s, _ in shape.values()}
+
+    def join(a, b):
+        if root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            for s in root:
+                root[s] = low if root[s] == high else root[s]
+
+    for a, b in got:
+        join(a, b)
+    close = [(i, j) for i, _ in rows for j, _ in rows if i < j and bin((shape[i][1] ^ shape[j][1]) % (1 << 64)).count("1") <= 4]
+    alike = [(i, j) for i, j in close if jaccard(rows[i][1], rows[j][1]) >= 0.8]
+    assert len(alike) > 20 and not [(i, j) for i, j in alike if root[shape[i][0]] != root[shape[j][0]]]

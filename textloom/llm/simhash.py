@@ -13,6 +13,7 @@ fingerprints aren't emitted again.
 :func:`keep_one` deletes rows, so with ``jaccard`` a link also needs that similarity of
 the texts' sets of shingles. At 0.8 fingerprints differ by 10 bits on average and by 17
 at times, too many for segments; MinHash bands give the candidates beyond ``distance``.
+Every pair of a band or of a chain of fingerprints is a candidate.
 Texts without shingles are alike.
 
 Defined cases: null text and text without words have fingerprint zero and link like
@@ -194,31 +195,23 @@ def _is_row(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.withColumn("_h", _text_key()).join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_named")), "left_semi")
 
 
-def _stars(shapes: DataFrame, jaccard: float, distance: int) -> DataFrame:
-    """(a, b): each shape with the smallest one of every bucket it is in, if their sizes
-    allow the similarity and, for buckets of fingerprints, they are within ``distance``.
-
-    Buckets are the deletion variants of the fingerprint's segments and the MinHash bands;
-    a bucket of n shapes gives n - 1 candidates at most, never all pairs.
-    """
-    masks = [_signed(((1 << width) - 1) << lo & ~(1 << k)) for lo, width in segments(distance) for k in range(lo, lo + width)]
+def _members(shapes: DataFrame) -> DataFrame:
+    """key, shape and ``n``: the buckets of each shape, which are its MinHash bands and the
+    cluster of its fingerprint."""
+    return shapes.select("shape", "n", F.explode(F.concat("bands", F.array("print"))).alias("key"))
 
-    def met(member: DataFrame, node: str) -> DataFrame:
-        # two numbers a row: this is what the stage shuffles most of
-        several = member.groupBy("key").agg(F.min(node).alias("rep"), F.max(node).alias("other")).filter("rep <> other").select("key", "rep")
-        return member.join(several, "key").filter(F.col(node) != F.col("rep"))
 
-    # the masks are one literal: with an expression for each, every step of planning holds 64 of them
-    variants = shapes.select("fp").distinct().select("fp", F.posexplode(F.lit(masks)).alias("i", "mask")).select("fp", F.xxhash64("i", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("rep"))) <= distance
-    near = settled(met(variants, "fp").filter(close).select("rep", "fp").distinct(), "near-prints")
-    first = settled(shapes.groupBy("fp").agg(F.min("shape").alias("first")), "of-prints")
-    ends = [first.select(F.col("fp").alias(c), F.col("first").alias(x)) for c, x in (("rep", "a"), ("fp", "b"))]
-    prints = near.join(ends[0], "rep").join(ends[1], "fp").select("a", "b")
-    same = shapes.select("fp", "shape").join(first, "fp").filter("shape <> first").select(F.col("first").alias("a"), F.col("shape").alias("b"))
-    bands = met(shapes.select("shape", F.explode("bands").alias("key")), "shape").select(F.col("rep").alias("a"), F.col("shape").alias("b"))
+def _stars(shapes: DataFrame, jaccard: float) -> DataFrame:
+    """(a, b): each shape with the smallest one of every bucket it is in, if their sizes
+    allow the similarity; a bucket of n shapes gives n - 1 candidates at most, never all pairs.
+    """
+    # two numbers a row: this is what the stage shuffles most of
+    member = _members(shapes).select("shape", "key")
+    several = member.groupBy("key").agg(F.min("shape").alias("a"), F.max("shape").alias("other")).filter("a <> other").select("key", "a")
+    # Spark sizes an explode as its input and would broadcast what comes of it
+    met = member.join(several.hint("merge"), "key").filter("shape <> a").select("a", F.col("shape").alias("b")).distinct()
     sizes = [shapes.select(F.col("shape").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab"]
-    pairs = prints.union(same).union(bands).distinct().join(sizes[0], "a").join(sizes[1], "b")
+    pairs = met.join(sizes[0], "a").join(sizes[1], "b")
     return pairs.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(jaccard) - 1e-6).select("a", "b")
 
 
@@ -248,12 +241,12 @@ def alike_apart(sets: list[np.ndarray], side: np.ndarray, comp: np.ndarray, jacc
 
 
 def _rest(shapes: DataFrame, sets: DataFrame, comp: DataFrame, jaccard: float) -> DataFrame:
-    """(a, b): a spanning forest of the links between members of a MinHash bucket that are in
+    """(a, b): a spanning forest of the links between members of a bucket that are in
     different components. Buckets are cut into blocks of about ``BLOCK_GRAMS`` shingles; a
     task compares two blocks and returns what ties components together, never all pairs."""
-    member = shapes.select("shape", "n", F.explode("bands").alias("key")).join(comp, F.col("shape") == F.col("node"), "left").select("key", "shape", "n", F.coalesce("component", "shape").alias("c"))
+    member = _members(shapes).join(comp, F.col("shape") == F.col("node"), "left").select("key", "shape", "n", F.coalesce("component", "shape").alias("c"))
     apart = member.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.sum("n").alias("all")).filter("low <> high").select("key", F.ceil(F.col("all") / BLOCK_GRAMS).cast("int").alias("blocks"))
-    rows = member.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int"))
+    rows = member.join(apart.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("p"), F.greatest("block", o).alias("q")))
     units = rows.select("key", "shape", "c", "block", F.explode(others).alias("u")).select("key", "u.*", "shape", "c", (F.col("block") == F.col("u.q")).alias("side"))
 
@@ -271,12 +264,16 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
     """(a, b): links between shapes whose sets of shingles have that Jaccard similarity;
     pairs that others already connect may be left out.
 
-    Every shape meets the smallest one of each of its buckets first, then members of a
-    MinHash bucket that are in different components by then meet each other. All are
+    Buckets are MinHash bands and clusters of fingerprints that chains of links within
+    ``distance`` join. Every shape meets the smallest one of each of its buckets first, then
+    members of a bucket that are in different components by then meet each other. All are
     compared by their whole sets.
     """
-    shapes = settled(sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row")), "shapes")
-    pairs = settled(_stars(shapes, jaccard, distance), "pairs")
+    prints = settled(connected_components(link_fingerprints(sketches.select("fp"), distance)), "clusters")
+    shapes = sketches.groupBy("shape").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(_row()).alias("row"))
+    cluster = F.xxhash64(F.lit("print"), F.coalesce("component", "fp")).alias("print")
+    shapes = settled(shapes.join(prints, F.col("fp") == F.col("node"), "left").select("shape", "n", "bands", "row", cluster), "shapes")
+    pairs = settled(_stars(shapes, jaccard), "pairs")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _text.slices(batches):
@@ -285,9 +282,9 @@ def similar_shapes(docs: DataFrame, sketches: DataFrame, jaccard: float, distanc
             sets = [np.unique(shingle_hashes(t, shingle_words)).view(np.int64) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(shape.view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["shape", "grams"])
 
-    several = shapes.select("shape", F.explode("bands").alias("key"))
+    several = _members(shapes).select("shape", "key")
     shared = several.groupBy("key").agg(F.min("shape").alias("low"), F.max("shape").alias("high")).filter("low <> high").select("key")
-    wanted = several.join(shared, "key", "left_semi").select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    wanted = several.join(shared.hint("merge"), "key", "left_semi").select("shape").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = _is_row(docs.select("doc_id", "text"), shapes.join(wanted, "shape", "left_semi").select("row.*"))
     sets = settled(texts.select("text").mapInArrow(grams, "shape long, grams array<long>").dropDuplicates(["shape"]), "grams")
     both = pairs.join(sets.select(F.col("shape").alias("b"), F.col("grams").alias("g_b")), "b").join(sets.select(F.col("shape").alias("a"), F.col("grams").alias("g_a")), "a")
