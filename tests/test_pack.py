@@ -108,3 +108,52 @@ def test_merges_equal_brute_force_and_use_the_whole_sample(spark):
     assert tokenizer.train_merges(spark.createDataFrame(rows), 600) == want
     whole = queries._merges(spark, "/root/testdata/sf0.001")
     assert len(whole) > 600 and whole == tokenizer.train_merges(tokenizer.word_counts(docs))
+
+
+def test_training_in_rounds_gives_the_same_merges(spark):
+    from collections import Counter
+    from random import Random
+
+    draw = Random(3)
+    for letters in ("a", "ab", "aéb", "abcdefgh"):
+        words = Counter("".join(draw.choices(letters, k=draw.randint(1, 14))) for _ in range(300))
+        bytes_of = {c: i for i, c in enumerate(tokenizer.byte_alphabet())}
+        base = sorted(bytes_of)
+        ids = {c: i + 7 for i, c in enumerate(base)}
+        table = [[[ids[tokenizer.byte_alphabet()[b]] for b in w.encode()], n] for w, n in words.items()]
+        names, want = dict(enumerate(base, 7)), []
+        while len(names) + 7 < 340:
+            pairs = Counter()
+            for w, n in table:
+                for p in zip(w, w[1:]):
+                    pairs[p] += n
+            best = min(pairs, key=lambda p: (-pairs[p], p), default=None)
+            if best is None or pairs[best] < 2:
+                break
+            new = len(names) + 7
+            names[new] = names[best[0]] + names[best[1]]
+            want.append((names[best[0]], names[best[1]]))
+            for word in table:
+                out = []
+                for x in word[0]:
+                    out[-1:] = [new] if out and (out[-1], x) == best else [*out[-1:], x]
+                word[0] = out
+        counts = spark.createDataFrame(list(words.items()), "word string, n long")
+        assert tokenizer.train_merges(counts, 340) == want
+        assert tokenizer.train_merges(counts, 340, most_places=20) == want  # many rounds
+
+
+def test_lists_are_encoded_and_decoded_as_single_words_are():
+    import pyarrow as pa
+
+    bpe = tokenizer.Bpe([("l", "o"), ("lo", "w"), ("Ã", "©")])
+    lists = [["low", " lower", "low"], None, [], ["é", "\x00漢"], ["low"] * 5]
+    array = pa.array([["skipped"], *lists], pa.list_(pa.string())).slice(1)
+    want = [[i for w in ws or [] for i in bpe.word(w)] for ws in lists]
+    assert bpe.encode_lists(array).to_pylist() == want
+    back = bpe.decode_lists(pa.array([*want, None, [1, *want[0]], want[3][1:], [want[3][-1]]], pa.list_(pa.int32())))
+    texts = [bpe.decode(i).decode(errors="replace") for i in [*want, [], want[0], want[3][1:], [want[3][-1]]]]
+    texts[5] = None
+    assert back.to_pylist() == texts and "\ufffd" in texts[-1]
+    sizes = [s.tolist() for _, s in tokenizer.list_slices(array, 3)]
+    assert sizes == [[3, 0, 0], [2], [5]]
