@@ -157,3 +157,25 @@ def test_lists_are_encoded_and_decoded_as_single_words_are():
     assert back.to_pylist() == texts and "\ufffd" in texts[-1]
     sizes = [s.tolist() for _, s in tokenizer.list_slices(array, 3)]
     assert sizes == [[3, 0, 0], [2], [5]]
+
+
+def test_streams_split_and_order_keys_only(spark):
+    rows = [(None if i == 7 else i // 2 * 2, "a" if i % 3 else None, i % 2, None if i == 5 else list(range(7, 7 + (i * 37) % 300))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, shard int, tokens array<int>")
+    got = pack.token_stream(docs, every=10).collect()
+    assert sorted((r.length, r.tokens[-1]) for r in got) == sorted((len(r[3] or []) + 1, 1) for r in rows)
+    for key in {(r[1], r[2]) for r in rows}:
+        own = [r for r in got if (r.source, r.shard) == key]
+        assert sum(r.split == "val" for r in own) == len(own) // 10
+        for split in ("train", "val"):
+            part = sorted((r for r in own if r.split == split), key=lambda r: r.start)
+            assert [r.start for r in part] == [sum(x.length for x in part[:i]) for i in range(len(part))]
+            assert all((a.doc_id or -1) <= (b.doc_id or -1) for a, b in zip(part, part[1:]))
+
+
+def test_windows_come_from_one_stream_of_written_tokens(spark):
+    from textloom.plans.queries import QUERIES
+
+    for name in ("window_scan", "gather_windows"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "documents.parquet" not in plan and "transform(filter(split" not in plan and "arrow_udf" not in plan and "ids(" not in plan
