@@ -66,3 +66,21 @@ def test_batches_are_cut_by_their_texts():
     got = list(text_slices(iter([batch.slice(0, 0), batch, batch.slice(4)]), 1, 16))
     assert [b.column(0).to_pylist() for b in got] == [[0, 1, 2], [3], [4, 5], [4, 5]]
     assert [x for b in got[:3] for x in b.column(1).to_pylist()] == texts
+
+
+def test_signatures_and_gram_hashes_are_plain_arithmetic():
+    import hashlib
+    import zlib
+
+    from textloom.functions.hashing import MULTIPLIER, ngram_hashes
+
+    words = [f"w{i * i % 97}" for i in range(1300)] + ["é", "漢字"]
+    shingles = {" ".join(words[i : i + 5]) for i in range(len(words) - 4)}
+    h = [int.from_bytes(hashlib.md5(x.encode()).digest()[:4], "big") & 0x7FFFFFFF for x in shingles]
+    want = [min((a * x + b) % dedup.PRIME for x in h) for a, b in dedup.permutations(64, 1337)]
+    assert dedup.portable_signature(words).tolist() == want
+    assert dedup.permutations(64, 1337) is dedup.permutations(64, 1337)
+    crc = [zlib.crc32(w.encode()) for w in words]
+    for k in (5, 40):
+        grams = {sum(c * MULTIPLIER ** (k - 1 - j) for j, c in enumerate(crc[i : i + k])) % 2**64 for i in range(len(crc) - k + 1)}
+        assert ngram_hashes(words, k).tolist() == sorted(grams)
